@@ -1,39 +1 @@
-from weirgauge.functions.expr import (
-    ALERT,
-    EXACT,
-    OK,
-    as_date,
-    date_of,
-    day,
-    deviation_cause,
-    exceeds_amount,
-    exceeds_ratio,
-    holds,
-    likely_cause,
-    ordered_array,
-    percent,
-    pinned,
-    plain,
-    ratio,
-    status,
-)
-
-__all__ = [
-    "ALERT",
-    "EXACT",
-    "OK",
-    "as_date",
-    "date_of",
-    "day",
-    "deviation_cause",
-    "exceeds_amount",
-    "exceeds_ratio",
-    "holds",
-    "likely_cause",
-    "ordered_array",
-    "percent",
-    "pinned",
-    "plain",
-    "ratio",
-    "status",
-]
+"""Expression helpers, see ``weirgauge.functions.expr``."""

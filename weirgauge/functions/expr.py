@@ -1,16 +1,18 @@
-"""Column expressions shared by the checks.
+"""SQL expression text shared by the checks.
 
-Everything here is a composition of built-in Spark expressions, so the checks
-stay inside whole-stage code generation.
+Checks state their expressions as Spark SQL text, as predicates in a
+specification are. Everything is composed of built-in functions, so it stays
+inside whole-stage code generation, and a text is parsed in one call where a
+chain of column objects would cost a driver round trip per operator.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 ALERT = "ALERT"
@@ -29,79 +31,113 @@ def as_date(value: dt.date | str) -> dt.date:
     return dt.date.fromisoformat(value)
 
 
-def day(as_of: dt.date | str, lag: int = 0) -> Column:
+def text(value: str) -> str:
+    """String literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def name(column: str) -> str:
+    """Quoted identifier."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def number(value: Decimal | str | int) -> str:
+    """Exact numeric literal, never in exponent form."""
+    return format(Decimal(value), "f")
+
+
+def day(as_of: dt.date | str, lag: int = 0) -> str:
     """Date literal ``lag`` days before ``as_of`` (a literal, so scans can prune on it)."""
-    return F.lit(as_date(as_of) - dt.timedelta(days=lag))
+    return f"date '{as_date(as_of) - dt.timedelta(days=lag)}'"
 
 
-def date_of(column: str) -> Column:
+def date_of(column: str) -> str:
     """The column as a date; the cast is pushed to the scan as a range on timestamps."""
-    return F.col(column).cast("date")
+    return f"cast({name(column)} as date)"
 
 
-def pinned(columns: Sequence[str], as_of: dt.date | str, lag: int = 0) -> Column:
+def pinned(columns: Sequence[str], as_of: dt.date | str, lag: int = 0) -> str:
     """True where every one of the date columns equals the day ``as_of - lag``."""
-    condition = F.lit(True)
-    for column in columns:
-        condition = condition & (date_of(column) == day(as_of, lag))
-    return condition
+    return all_of([f"{date_of(column)} = {day(as_of, lag)}" for column in columns])
+
+
+def all_of(conditions: Sequence[str]) -> str:
+    return " and ".join(f"({c})" for c in conditions)
+
 
+def any_of(conditions: Sequence[str]) -> str:
+    return " or ".join(f"({c})" for c in conditions)
 
-def holds(predicate: str) -> Column:
-    """SQL predicate as a two-valued flag: NULL counts as not satisfied."""
-    return F.coalesce(F.expr(predicate), F.lit(False))
 
+def holds(predicate: str) -> str:
+    """Predicate as a two-valued flag: NULL counts as not satisfied."""
+    return f"coalesce(({predicate}), false)"
 
-def ratio(part: Column, whole: Column) -> Column:
+
+def ratio(part: str, whole: str) -> str:
     """``part / whole`` as double, NULL where the denominator is 0."""
-    return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
+    return f"(cast({part} as double) / nullif(cast({whole} as double), 0d))"
 
 
-def percent(part: Column, whole: Column, digits: int = 2) -> Column:
+def percent(part: str, whole: str, digits: int = 2) -> str:
     """``part / whole`` in percent, rounded once."""
-    return F.round(ratio(part, whole) * 100, digits)
+    return f"round({ratio(part, whole)} * 100, {digits})"
 
 
-def exceeds_ratio(current: Column, base: Column, threshold: Decimal | str) -> Column:
+def exceeds_ratio(current: str, base: str, threshold: Decimal | str) -> str:
     """Strict test ``|current - base| / base > threshold``.
 
     Written as a product so that a change of exactly the threshold never fires
     through a floating-point remainder. As with the signed quotient, a base
     that is zero, negative or missing never fires.
     """
-    limit = F.lit(Decimal(threshold)) * base
-    return F.coalesce((base > 0) & (F.abs(current - base) > limit), F.lit(False))
+    return holds(f"({base}) > 0 and abs(({current}) - ({base})) > {number(threshold)} * ({base})")
 
 
-def exceeds_amount(current: Column, base: Column, threshold: Decimal | str) -> Column:
+def exceeds_amount(current: str, base: str, threshold: Decimal | str) -> str:
     """Strict test ``|current - base| > threshold``; missing values never fire."""
-    return F.coalesce(F.abs(current - base) > F.lit(Decimal(threshold)), F.lit(False))
+    return holds(f"abs(({current}) - ({base})) > {number(threshold)}")
 
 
-def status(breached: Column) -> Column:
-    return F.when(breached, F.lit(ALERT)).otherwise(F.lit(OK))
+def status(breached: str) -> str:
+    return f"case when {breached} then '{ALERT}' else '{OK}' end"
 
 
-def likely_cause(duplicate_groups: Column, days: int = 7) -> Column:
-    """Why a row count moved: duplicated natural keys, or the count alone."""
-    return F.when(
-        F.coalesce(duplicate_groups, F.lit(0)) > 0, F.lit("duplicate rows on natural key")
-    ).otherwise(deviation_cause(days))
+def deviation_cause(days: int = 7) -> str:
+    return text(f"row count deviation vs {days}-day average")
 
 
-def deviation_cause(days: int = 7) -> Column:
-    return F.lit(f"row count deviation vs {days}-day average")
+def likely_cause(duplicate_groups: str, days: int = 7) -> str:
+    """Why a row count moved: duplicated natural keys, or the count alone."""
+    return (
+        f"case when coalesce({duplicate_groups}, 0) > 0 then 'duplicate rows on natural key' "
+        f"else {deviation_cause(days)} end"
+    )
 
 
-def ordered_array(position: Column, payload: Column) -> Column:
+def ordered_array(position: str, payload: str) -> str:
     """Aggregate: payloads as an array sorted by their (unique) position.
 
     Only ever used on frames already cut to a top-k, so the array is bounded.
     """
-    packed = F.sort_array(F.collect_list(F.struct(position.alias("pos"), payload.alias("item"))))
-    return F.transform(packed, lambda entry: entry["item"])
+    packed = f"sort_array(collect_list(struct({position} as pos, {payload} as item)))"
+    return f"transform({packed}, entry -> entry.item)"
 
 
-def plain(value: Column, digits: int = 2) -> Column:
+def plain(value: str, digits: int = 2) -> str:
     """Fixed-point form for JSON, so large numbers are not printed in exponent form."""
-    return F.round(value, digits).cast(f"decimal(38,{digits})")
+    return f"cast(round({value}, {digits}) as decimal(38,{digits}))"
+
+
+def struct(members: Mapping[str, str]) -> str:
+    return "struct(" + ", ".join(f"{value} as {name(member)}" for member, value in members.items()) + ")"
+
+
+def inline(rows: Sequence[Mapping[str, str]]) -> str:
+    """One output row per mapping, all with the same members."""
+    return "inline(array(" + ", ".join(struct(row) for row in rows) + "))"
+
+
+def aggregate(grouped: GroupedData | DataFrame, *expressions: str) -> DataFrame:
+    """``agg`` with SQL text such as ``sum(x) as total``."""
+    return grouped.agg(*[F.expr(e) for e in expressions])

@@ -15,19 +15,26 @@ from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgauge.functions import (
+from weirgauge.functions.expr import (
     EXACT,
-    as_date,
+    aggregate,
+    all_of,
+    any_of,
+    day,
     exceeds_amount,
     exceeds_ratio,
     holds,
+    inline,
+    name,
+    number,
     ordered_array,
     percent,
     pinned,
     status,
+    text,
 )
 
 
@@ -55,6 +62,17 @@ class ChangeCheck:
     where: str = "true"
     absolute: bool = False
 
+    def breach(self, rounded: bool = False) -> str:
+        """Threshold test on ``current_value`` and ``previous_value``; ``rounded`` tests the shown figure."""
+        gap = "abs(current_value - previous_value)"
+        if self.absolute and rounded:
+            return holds(f"round({gap}, 2) > {number(self.threshold)}")
+        if self.absolute:
+            return exceeds_amount("current_value", "previous_value", self.threshold)
+        if rounded:
+            return holds(f"{percent(gap, 'previous_value')} > {number(Decimal(self.threshold) * 100)}")
+        return exceeds_ratio("current_value", "previous_value", self.threshold)
+
 
 @dataclass(frozen=True)
 class PinnedTable:
@@ -79,109 +97,109 @@ def _side_rows(
     columns: Mapping[str, str],
     values: bool,
 ) -> DataFrame:
-    """Rows of all sides, each tagged with its side; one scan per table.
+    """Rows of all sides, each tagged with the number of its side; one scan per table.
 
     ``hit_i`` says whether the row belongs to check i. With ``values`` the
     measures are split into ``cur_i`` and ``prev_i``.
     """
     sides = _sides(checks)
     frames = []
-    for name in dict.fromkeys(side.table for side in sides):
-        table = tables[name]
-        mine = [(no, side) for no, side in enumerate(sides) if side.table == name]
-        tag = F.coalesce(
-            *[F.when(pinned(table.dates, as_of, side.lag), F.lit(no).cast("int")) for no, side in mine]
+    for table in dict.fromkeys(side.table for side in sides):
+        dates = tables[table].dates
+        mine = {no: pinned(dates, as_of, side.lag) for no, side in enumerate(sides) if side.table == table}
+        wanted = any_of(
+            [
+                all_of([on_day, any_of([c.where for c in checks if sides[no] in (c.current, c.previous)])])
+                for no, on_day in mine.items()
+            ]
         )
-        wanted = F.lit(False)
-        for _, side in mine:
-            used_by = [F.expr(c.where) for c in checks if side in (c.current, c.previous)]
-            wanted = wanted | (pinned(table.dates, as_of, side.lag) & reduce(lambda a, b: a | b, used_by))
-        rows = table.df.where(wanted)
-        out = [F.col(source).alias(target) for target, source in columns.items()]
-        out.append(tag.alias("side"))
+        tag = "case " + " ".join(f"when {on_day} then {no}" for no, on_day in mine.items()) + " end"
+        out = [f"{name(source)} as {target}" for target, source in columns.items()]
+        out.append(f"{tag} as side")
         for i, check in enumerate(checks):
-            belongs = [no for no, side in mine if side in (check.current, check.previous)]
-            hit = F.lit(False) if not belongs else tag.isin(belongs) & holds(check.where)
-            out.append(hit.alias(f"hit_{i}"))
+            on = {
+                prefix: all_of([mine[sides.index(side)], check.where])
+                for prefix, side in (("cur", check.current), ("prev", check.previous))
+                if side.table == table
+            }
+            out.append(f"{holds(any_of(list(on.values())) or 'false')} as hit_{i}")
             if values:
-                for prefix, side in (("cur", check.current), ("prev", check.previous)):
-                    if side.table == name:
-                        on_side = (tag == sides.index(side)) & holds(check.where)
-                        out.append(F.when(on_side, F.col(check.measure)).alias(f"{prefix}_{i}"))
-        frames.append(rows.select(*out))
+                out += [f"case when {row} then {name(check.measure)} end as {p}_{i}" for p, row in on.items()]
+        frames.append(tables[table].df.where(wanted).selectExpr(*out))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _only_null_side(key: str) -> Column:
-    """NULL entities group per side: they are never matched with each other."""
-    return F.when(F.col(key).isNull(), F.col("side"))
-
-
 def entity_rollup(
     tables: Mapping[str, PinnedTable], checks: Sequence[ChangeCheck], as_of: dt.date | str, key: str
 ) -> DataFrame:
-    """Per entity and check: sums on both sides, wide. The one large shuffle of a change check."""
+    """Per entity and check: sums on both sides, wide. The one large shuffle of a change check.
+
+    NULL entities group per side: they are never matched with each other.
+    """
     rows = _side_rows(tables, checks, as_of, {"entity": key}, values=True)
-    aggregates = [
-        aggregate
-        for i in range(len(checks))
-        for aggregate in (
-            F.sum(f"cur_{i}").cast(EXACT).alias(f"cur_{i}"),
-            F.sum(f"prev_{i}").cast(EXACT).alias(f"prev_{i}"),
-            F.max(f"hit_{i}").alias(f"hit_{i}"),
-        )
-    ]
-    return rows.groupBy("entity", _only_null_side("entity").alias("null_side")).agg(*aggregates)
+    return aggregate(
+        rows.selectExpr("*", "case when entity is null then side end as null_side").groupBy("entity", "null_side"),
+        *[
+            expression
+            for i in range(len(checks))
+            for expression in (
+                f"cast(sum(cur_{i}) as {EXACT}) as cur_{i}",
+                f"cast(sum(prev_{i}) as {EXACT}) as prev_{i}",
+                f"max(hit_{i}) as hit_{i}",
+            )
+        ],
+    )
 
 
 def entity_deltas(rollup: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame:
     """Long form of the rollup: one row per check and entity present on either side."""
-    per_check = F.array(
-        *[
-            F.struct(
-                F.lit(check.name).alias("check_name"),
-                F.lit(i).alias("check_no"),
-                F.col(f"cur_{i}").alias("current_value"),
-                F.col(f"prev_{i}").alias("previous_value"),
-                F.col(f"hit_{i}").alias("hit"),
-            )
+    per_check = inline(
+        [
+            {
+                "check_name": text(check.name),
+                "check_no": str(i),
+                "current_value": f"cur_{i}",
+                "previous_value": f"prev_{i}",
+                "hit": f"hit_{i}",
+            }
             for i, check in enumerate(checks)
         ]
     )
-    zero = F.lit(0).cast(EXACT)
     return (
-        rollup.select("entity", "null_side", F.inline(per_check))
+        rollup.selectExpr("entity", "null_side", per_check)
         .where("hit")
-        .withColumn("delta", F.coalesce("current_value", zero) - F.coalesce("previous_value", zero))
-        .drop("hit")
+        .selectExpr(
+            "check_name",
+            "check_no",
+            "entity",
+            "null_side",
+            "current_value",
+            "previous_value",
+            "coalesce(current_value, 0) - coalesce(previous_value, 0) as delta",
+        )
     )
 
 
-def _totals(rollup: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame:
-    """Sum of the entity sums; one row per check, NULL where a side has no value at all."""
-    present = [F.col(f"hit_{i}") for i in range(len(checks))]
-    one_row = rollup.agg(
-        *[F.sum(F.when(hit, F.col(f"cur_{i}"))).cast(EXACT).alias(f"cur_{i}") for i, hit in enumerate(present)],
-        *[F.sum(F.when(hit, F.col(f"prev_{i}"))).cast(EXACT).alias(f"prev_{i}") for i, hit in enumerate(present)],
-    )
-    return _per_check(one_row, checks)
+def _per_check(one_row: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame:
+    rows = [
+        {"check_name": text(check.name), "current_value": f"cur_{i}", "previous_value": f"prev_{i}"}
+        for i, check in enumerate(checks)
+    ]
+    return one_row.selectExpr(inline(rows))
 
 
-def _per_check(one_row: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame:
-    return one_row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(check.name).alias("check_name"),
-                        F.col(f"cur_{i}").alias("current_value"),
-                        F.col(f"prev_{i}").alias("previous_value"),
-                    )
-                    for i, check in enumerate(checks)
-                ]
-            )
-        )
-    )
+def _totals(rollup: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame:
+    """Sum of the entity sums; one row per check, NULL where a side has no value at all.
+
+    The presence flag is part of the sum so that this branch needs the same
+    columns of the rollup as the drivers do and both read one exchange.
+    """
+    sums = [
+        f"cast(sum({side}_{i}) filter (where hit_{i}) as {EXACT}) as {side}_{i}"
+        for i in range(len(checks))
+        for side in ("cur", "prev")
+    ]
+    return _per_check(aggregate(rollup, *sums), checks)
 
 
 def side_totals(
@@ -189,14 +207,8 @@ def side_totals(
 ) -> DataFrame:
     """Totals of both sides per check without the entity rollup: one scan per table, one row per task."""
     rows = _side_rows(tables, checks, as_of, {}, values=True)
-    one_row = rows.agg(
-        *[
-            F.sum(f"{side}_{i}").cast(EXACT).alias(f"{side}_{i}")
-            for i in range(len(checks))
-            for side in ("cur", "prev")
-        ]
-    )
-    return _per_check(one_row, checks)
+    sums = [f"cast(sum({side}_{i}) as {EXACT}) as {side}_{i}" for i in range(len(checks)) for side in ("cur", "prev")]
+    return _per_check(aggregate(rows, *sums), checks)
 
 
 def _winners(deltas: DataFrame, n: int) -> DataFrame:
@@ -205,12 +217,10 @@ def _winners(deltas: DataFrame, n: int) -> DataFrame:
     The rank limit is applied in every task before rows are exchanged by check,
     so at most n rows per check and task move.
     """
-    order = Window.partitionBy("check_name").orderBy(
-        F.abs("delta").desc(), F.asc_nulls_last("entity"), F.asc("null_side")
-    )
+    order = "abs(delta) desc, entity asc nulls last, null_side"
     return (
-        deltas.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= n)
+        deltas.selectExpr("*", f"row_number() over (partition by check_name order by {order}) as rank")
+        .where(f"rank <= {int(n)}")
         .select("check_name", "check_no", "rank", "entity", "null_side", "delta")
     )
 
@@ -221,7 +231,7 @@ def _named(
     checks: Sequence[ChangeCheck],
     as_of: dt.date | str,
     key: str,
-    name: str,
+    label: str,
 ) -> DataFrame:
     """Attach the largest name of the current side, else of the previous one.
 
@@ -230,24 +240,22 @@ def _named(
     owning many rows stays cheap. Every winner has a row on some side, hence an
     inner join keeps them all.
     """
-    rows = _side_rows(tables, checks, as_of, {"key_of_row": key, "name": name}, values=False)
     sides = _sides(checks)
-    hit = F.array(*[F.col(f"hit_{i}") for i in range(len(checks))])
-    current = F.array(*[F.lit(sides.index(c.current)) for c in checks])
-    matched = rows.join(
-        F.broadcast(winners),
-        F.col("key_of_row").eqNullSafe(F.col("entity"))
-        & F.when(F.col("key_of_row").isNull(), F.col("side")).eqNullSafe(F.col("null_side")),
-        "inner",
-    ).where(hit[F.col("check_no")])
-    fixed = ["check_name", "rank", "entity", "delta"]
-    distinct_names = matched.select(
-        *fixed, (F.col("side") == current[F.col("check_no")]).alias("is_current"), "name"
-    ).distinct()
-    return distinct_names.groupBy(*fixed).agg(
-        F.coalesce(
-            F.max(F.when(F.col("is_current"), F.col("name"))), F.max(F.when(~F.col("is_current"), F.col("name")))
-        ).alias("name")
+    hit = "array(" + ", ".join(f"hit_{i}" for i in range(len(checks))) + ")"
+    current = "array(" + ", ".join(str(sides.index(c.current)) for c in checks) + ")"
+    rows = _side_rows(tables, checks, as_of, {"row_key": key, "label": label}, values=False).selectExpr(
+        "row_key", "label", "side", "case when row_key is null then side end as row_null_side", f"{hit} as hits"
+    )
+    fixed = ("check_name", "rank", "entity", "delta")
+    distinct_labels = (
+        rows.join(F.broadcast(winners), F.expr("row_key <=> entity and row_null_side <=> null_side"), "inner")
+        .where("hits[check_no]")
+        .selectExpr(*fixed, f"side = {current}[check_no] as is_current", "label")
+        .distinct()
+    )
+    return aggregate(
+        distinct_labels.groupBy(*fixed),
+        "coalesce(max(label) filter (where is_current), max(label) filter (where not is_current)) as name",
     )
 
 
@@ -256,32 +264,29 @@ def top_drivers(
     checks: Sequence[ChangeCheck],
     as_of: dt.date | str,
     key: str,
-    name: str | None = None,
+    label: str | None = None,
     n: int = 5,
 ) -> DataFrame:
-    """The n entities with the largest signed change per check, as rows."""
-    rollup = entity_rollup(tables, checks, as_of, key)
-    return _drivers(rollup, tables, checks, as_of, key, name, n)
+    """The n entities with the largest signed change per check, as rows; ``label`` is the name column."""
+    return _drivers(entity_rollup(tables, checks, as_of, key), tables, checks, as_of, key, label, n)
 
 
-def _drivers(rollup, tables, checks, as_of, key, name, n) -> DataFrame:
+def _drivers(rollup, tables, checks, as_of, key, label, n) -> DataFrame:
     winners = _winners(entity_deltas(rollup, checks), n)
-    if name is not None:
-        winners = _named(winners, tables, checks, as_of, key, name)
-    else:
-        winners = winners.withColumn("name", F.lit(None).cast("string"))
-    return winners.select("check_name", "rank", "entity", "name", "delta")
+    if label is None:
+        return winners.selectExpr("check_name", "rank", "entity", "cast(null as string) as name", "delta")
+    named = _named(winners, tables, checks, as_of, key, label)
+    return named.select("check_name", "rank", "entity", "name", "delta")
 
 
-def label_drivers(drivers: DataFrame, labels: DataFrame, key: str, name: str) -> DataFrame:
+def label_drivers(drivers: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
     """Fill ``name`` from a dimension table of any size.
 
     The drivers (n per check) are broadcast to reduce the dimension to the few
     rows needed; the dimension itself is neither broadcast nor shuffled whole.
     """
-    few = labels.join(
-        F.broadcast(drivers.select(F.col("entity").alias(key))), key, "left_semi"
-    ).select(F.col(key).alias("entity"), F.col(name).alias("name"))
+    wanted = F.broadcast(drivers.selectExpr(f"entity as {name(key)}"))
+    few = labels.join(wanted, key, "left_semi").selectExpr(f"{name(key)} as entity", f"{name(label)} as name")
     return drivers.drop("name").join(few, "entity", "left").select(*drivers.columns)
 
 
@@ -290,7 +295,7 @@ def change_scorecard(
     checks: Sequence[ChangeCheck],
     as_of: dt.date | str,
     key: str,
-    name: str | None = None,
+    label: str | None = None,
     n: int = 5,
     rounded: bool = False,
 ) -> DataFrame:
@@ -299,38 +304,23 @@ def change_scorecard(
     ``rounded`` tests the figure as shown (two digits) instead of the exact one.
     """
     rollup = entity_rollup(tables, checks, as_of, key)
-    drivers = (
-        _drivers(rollup, tables, checks, as_of, key, name, n)
-        .groupBy("check_name")
-        .agg(ordered_array(F.col("rank"), F.struct("entity", "name", "delta")).alias("top_drivers"))
+    drivers = aggregate(
+        _drivers(rollup, tables, checks, as_of, key, label, n).groupBy("check_name"),
+        f"{ordered_array('rank', 'struct(entity, name, delta)')} as top_drivers",
     )
-    current, previous = F.col("current_value"), F.col("previous_value")
-    gap = F.abs(current - previous)
-    breach, alert_date = F.lit(False), F.lit(None).cast("date")
-    for check in checks:
-        is_check = F.col("check_name") == check.name
-        breach = F.when(is_check, _breach(check, rounded)).otherwise(breach)
-        day_of = F.lit(as_date(as_of) - dt.timedelta(days=check.current.lag))
-        alert_date = F.when(is_check, day_of).otherwise(alert_date)
-    return (
-        _totals(rollup, checks)
-        .withColumn("alert_date", alert_date)
-        .withColumn("abs_difference", F.round(gap, 2))
-        .withColumn("change_pct", percent(gap, previous))
-        .withColumn("status", status(breach))
-        .join(drivers, "check_name", "left")
-        .withColumn("top_drivers", F.coalesce("top_drivers", F.array()))
+    gap = "abs(current_value - previous_value)"
+
+    def by_check(values: Sequence[str]) -> str:
+        arms = [f"when {text(c.name)} then {value}" for c, value in zip(checks, values, strict=True)]
+        return "case check_name " + " ".join(arms) + " end"
+
+    return _totals(rollup, checks).join(drivers, "check_name", "left").selectExpr(
+        "check_name",
+        "current_value",
+        "previous_value",
+        f"{by_check([day(as_of, c.current.lag) for c in checks])} as alert_date",
+        f"round({gap}, 2) as abs_difference",
+        f"{percent(gap, 'previous_value')} as change_pct",
+        f"{status(by_check([c.breach(rounded) for c in checks]))} as status",
+        "coalesce(top_drivers, array()) as top_drivers",
     )
-
-
-def _breach(check: ChangeCheck, rounded: bool) -> Column:
-    current, previous = F.col("current_value"), F.col("previous_value")
-    if check.absolute:
-        if rounded:
-            shown = F.round(F.abs(current - previous), 2)
-            return F.coalesce(shown > F.lit(Decimal(check.threshold)), F.lit(False))
-        return exceeds_amount(current, previous, check.threshold)
-    if rounded:
-        shown = percent(F.abs(current - previous), previous)
-        return F.coalesce(shown > F.lit(float(Decimal(check.threshold) * 100)), F.lit(False))
-    return exceeds_ratio(current, previous, check.threshold)

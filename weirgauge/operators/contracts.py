@@ -3,52 +3,63 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from weirgauge.functions.expr import aggregate, inline, name, text
 
-def _unexpected(column: str, allowed: Sequence[str]) -> Column:
-    # NULL is left to the not-null rule.
-    return ~F.col(column).isin(*allowed)
 
+@dataclass(frozen=True)
+class Rule:
+    """A named violation predicate on a column."""
 
-def _contains(column: str, pattern: str) -> Column:
-    return F.lower(F.col(column)).contains(pattern.lower())
+    rule: str
+    column: str
+    violated: str
+
+
+def not_null(column: str) -> Rule:
+    return Rule("not_null", column, f"{name(column)} is null")
+
+
+def accepted_values(column: str, allowed: Sequence[str]) -> Rule:
+    """NULL is left to the not-null rule."""
+    return Rule("accepted_values", column, f"{name(column)} not in ({', '.join(text(v) for v in allowed)})")
+
+
+def retired_value(column: str, pattern: str) -> Rule:
+    """The lower-cased value contains a retired pattern."""
+    return Rule("retired_value", column, f"contains(lower({name(column)}), {text(pattern.lower())})")
+
+
+def _offenders(df: DataFrame, rule: Rule) -> DataFrame:
+    return aggregate(df.where(rule.violated).groupBy(rule.column), "count(1) as n_rows")
 
 
 def expect_not_null(df: DataFrame, column: str) -> DataFrame:
     """Rows in which the column is NULL."""
-    return df.where(F.col(column).isNull())
+    return df.where(not_null(column).violated)
 
 
 def expect_in(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
     """Values outside the closed set, with their row count."""
-    return df.where(_unexpected(column, allowed)).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+    return _offenders(df, accepted_values(column, allowed))
 
 
 def expect_absent(df: DataFrame, column: str, pattern: str) -> DataFrame:
     """Values whose lower-cased text contains a retired pattern, with their row count."""
-    return df.where(_contains(column, pattern)).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-
-
-def contract_report(
-    df: DataFrame, column: str, allowed: Sequence[str], retired: str | None = None
-) -> DataFrame:
-    """Violations of all rules on a column from one scan: ``rule, column_name, violations``."""
-    rules = {"not_null": F.col(column).isNull(), "accepted_values": _unexpected(column, allowed)}
-    if retired is not None:
-        rules["retired_value"] = _contains(column, retired)
-    counted = df.agg(*[F.count_if(condition).alias(rule) for rule, condition in rules.items()])
-    return counted.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(rule).alias("rule"), F.lit(column).alias("column_name"), F.col(rule).alias("violations")
-                    )
-                    for rule in rules
-                ]
-            )
+    return _offenders(df, retired_value(column, pattern))
+
+
+def contract_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Violations of every rule from one scan: ``rule, column_name, violations``."""
+    counted = aggregate(df, *[f"count_if({r.violated}) as violations_{i}" for i, r in enumerate(rules)])
+    return counted.selectExpr(
+        inline(
+            [
+                {"rule": text(r.rule), "column_name": text(r.column), "violations": f"violations_{i}"}
+                for i, r in enumerate(rules)
+            ]
         )
     )

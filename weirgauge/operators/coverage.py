@@ -13,10 +13,23 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-from weirgauge.functions import date_of, day, holds, ordered_array, percent, status
+from pyspark.sql import DataFrame
+
+from weirgauge.functions.expr import (
+    aggregate,
+    any_of,
+    date_of,
+    day,
+    holds,
+    inline,
+    name,
+    number,
+    ordered_array,
+    percent,
+    status,
+    struct,
+    text,
+)
 
 CHECK = ("check_name", "source_table", "check_date")
 
@@ -53,7 +66,7 @@ class CoverageSpec:
 
 def eligible(df: DataFrame, key: str, where: str, date: str, as_of: dt.date | str) -> DataFrame:
     """Distinct entities with a row on the day that passes the predicate."""
-    return df.where((date_of(date) == day(as_of)) & F.expr(where)).select(key).distinct()
+    return df.where(f"{date_of(date)} = {day(as_of)} and ({where})").select(key).distinct()
 
 
 def refine(population: DataFrame, rows: DataFrame, key: str, where: str = "true") -> DataFrame:
@@ -63,71 +76,59 @@ def refine(population: DataFrame, rows: DataFrame, key: str, where: str = "true"
     reduced before the shuffle instead of landing on one join task. A NULL
     entity never matches.
     """
-    return population.join(rows.where(F.expr(where)).select(key).distinct(), key, "left_semi")
+    return population.join(rows.where(where).select(key).distinct(), key, "left_semi")
 
 
 def measure(
     df: DataFrame, key: str, value: str, where: str, date: str, as_of: dt.date | str, lag: int = 0
 ) -> DataFrame:
     """Sum of the measure per entity on one day, NULL counted as 0."""
-    return (
-        df.where((date_of(date) == day(as_of, lag)) & F.expr(where))
-        .groupBy(key)
-        .agg(F.sum(F.coalesce(F.col(value), F.lit(0))).alias("usage_value"))
-    )
-
-
-def _any(conditions: Sequence[Column]) -> Column:
-    result = F.lit(False)
-    for condition in conditions:
-        result = result | condition
-    return result
+    rows = df.where(f"{date_of(date)} = {day(as_of, lag)} and ({where})")
+    return aggregate(rows.groupBy(key), f"sum(coalesce({name(value)}, 0)) as usage_value")
 
 
 def entity_facts(
     population: DataFrame, usage: DataFrame, spec: CoverageSpec, as_of: dt.date | str
 ) -> DataFrame:
     """One row per (sub-check, eligible entity): measure (0 if missing) and number of matching rows."""
+    key, numbered = name(spec.key), list(enumerate(spec.checks))
     today = population.where(
-        (date_of(spec.population_date) == day(as_of)) & F.expr(spec.rows) & F.col(spec.key).isNotNull()
-    ).select(
-        spec.key,
-        holds(spec.member).alias("is_member"),
-        *[holds(c.extra).cast("long").alias(f"rows_{i}") for i, c in enumerate(spec.checks)],
+        f"{date_of(spec.population_date)} = {day(as_of)} and ({spec.rows}) and {key} is not null"
+    ).selectExpr(
+        f"{key} as entity",
+        f"{holds(spec.member)} as is_member",
+        *[f"cast({holds(c.extra)} as bigint) as rows_{i}" for i, c in numbered],
     )
     wanted = [
-        (F.col(spec.source) == c.source) & (date_of(spec.measure_date) == day(as_of, c.lag)) for c in spec.checks
+        f"{name(spec.source)} = {text(c.source)} and {date_of(spec.measure_date)} = {day(as_of, c.lag)}"
+        for c in spec.checks
     ]
-    measured = usage.where(_any(wanted) & F.col(spec.key).isNotNull()).select(
-        spec.key,
-        *[F.when(w, F.coalesce(F.col(spec.value), F.lit(0))).alias(f"value_{i}") for i, w in enumerate(wanted)],
-    )
-    per_entity = (
-        today.unionByName(measured, allowMissingColumns=True)
-        .groupBy(spec.key)
-        .agg(
-            F.max("is_member").alias("is_member"),
-            *[F.sum(f"rows_{i}").alias(f"rows_{i}") for i in range(len(spec.checks))],
-            *[F.sum(f"value_{i}").alias(f"value_{i}") for i in range(len(spec.checks))],
-        )
-        .where("is_member")
+    measured = usage.where(f"({any_of(wanted)}) and {key} is not null").selectExpr(
+        f"{key} as entity",
+        *[f"case when {w} then coalesce({name(spec.value)}, 0) end as value_{i}" for i, w in enumerate(wanted)],
     )
-    per_check = F.array(
-        *[
-            F.struct(
-                F.lit(c.name).alias("check_name"),
-                F.lit(c.source).alias("source_table"),
-                day(as_of, c.lag).alias("check_date"),
-                F.coalesce(f"value_{i}", F.lit(0)).alias("usage_value"),
-                F.col(f"rows_{i}").alias("matching_rows"),
-            )
-            for i, c in enumerate(spec.checks)
+    per_entity = aggregate(
+        today.unionByName(measured, allowMissingColumns=True).groupBy("entity"),
+        "max(is_member) as is_member",
+        *[f"sum(rows_{i}) as rows_{i}" for i, _ in numbered],
+        *[f"sum(value_{i}) as value_{i}" for i, _ in numbered],
+    ).where("is_member")
+    per_check = inline(
+        [
+            {
+                "check_name": text(c.name),
+                "source_table": text(c.source),
+                "check_date": day(as_of, c.lag),
+                "usage_value": f"coalesce(value_{i}, 0)",
+                "matching_rows": f"rows_{i}",
+            }
+            for i, c in numbered
         ]
     )
     return (
-        per_entity.select(F.col(spec.key).alias("entity"), F.inline(per_check))
+        per_entity.selectExpr("entity", per_check)
         .where("matching_rows > 0")
-        .select(*CHECK, F.col("entity").alias(spec.key), "usage_value", "matching_rows")
+        .selectExpr(*CHECK, f"entity as {key}", "usage_value", "matching_rows")
     )
 
 
@@ -136,24 +137,25 @@ def coverage(facts: DataFrame) -> DataFrame:
 
     Facts hold each entity once per sub-check, so plain counts are distinct counts.
     """
-    return facts.groupBy(*CHECK).agg(
-        F.count(F.lit(1)).alias("eligible"), F.count_if(F.col("usage_value") > 0).alias("with_usage")
-    ).withColumn("coverage_pct", percent(F.col("with_usage"), F.col("eligible")))
+    counted = aggregate(
+        facts.groupBy(*CHECK), "count(1) as eligible", "count_if(usage_value > 0) as with_usage"
+    )
+    return counted.selectExpr("*", f"{percent('with_usage', 'eligible')} as coverage_pct")
+
+
+def _ranked(rows: DataFrame, order: str, n: int) -> DataFrame:
+    position = f"row_number() over (partition by {', '.join(CHECK)} order by {order})"
+    return rows.selectExpr("*", f"{position} as rank").where(f"rank <= {int(n)}")
 
 
 def _first_missing(facts: DataFrame, key: str, n: int, dedupe: bool) -> DataFrame:
-    missing = facts.where("usage_value = 0")
-    order = Window.partitionBy(*CHECK).orderBy(key)
-    first = missing.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= n)
+    first = _ranked(facts.where("usage_value = 0"), name(key), n)
     if dedupe:
         return first
     # An entity appears once per matching row; more than n repeats cannot be seen.
     # The n first entities hold at least the n first rows, so only they are repeated.
-    copies = F.expr(f"sequence(1, cast(least(matching_rows, {int(n)}) as int))")
-    repeated = first.withColumn("copy", F.explode(copies))
-    return repeated.withColumn(
-        "rn", F.row_number().over(Window.partitionBy(*CHECK).orderBy(key, "copy"))
-    ).where(F.col("rn") <= n)
+    copies = f"explode(sequence(1, cast(least(matching_rows, {int(n)}) as int))) as copy"
+    return _ranked(first.drop("rank").selectExpr("*", copies), f"{name(key)}, copy", n)
 
 
 def missing_sample(facts: DataFrame, key: str, n: int = 10, dedupe: bool = True) -> DataFrame:
@@ -163,16 +165,14 @@ def missing_sample(facts: DataFrame, key: str, n: int = 10, dedupe: bool = True)
     sub-check with most of the rows sends ``n`` rows per task. ``dedupe=False``
     lists an entity once for every row that made it eligible.
     """
-    return (
-        _first_missing(facts, key, n, dedupe)
-        .groupBy(*CHECK)
-        .agg(ordered_array(F.col("rn"), F.struct(key)).alias("sample_missing"))
-    )
+    first = _first_missing(facts, key, n, dedupe)
+    sample = ordered_array("rank", struct({key: name(key)}))
+    return aggregate(first.groupBy(*CHECK), f"{sample} as sample_missing")
 
 
 def missing_sample_rows(facts: DataFrame, key: str, n: int = 10, dedupe: bool = True) -> DataFrame:
     """The same sample as rows ``check, rank, entity``."""
-    return _first_missing(facts, key, n, dedupe).select(*CHECK, F.col("rn").alias("rank"), key)
+    return _first_missing(facts, key, n, dedupe).select(*CHECK, "rank", key)
 
 
 def coverage_scorecard(
@@ -182,10 +182,11 @@ def coverage_scorecard(
 
     A sub-check without eligible entities has no row.
     """
-    too_few = F.col("with_usage") < F.col("eligible") * F.lit(Decimal(min_ratio))
+    counted = coverage(facts)
+    too_few = f"with_usage < eligible * {number(min_ratio)}"
     # Both sides are already distributed by the same three columns: no further exchange.
-    return (
-        coverage(facts)
-        .withColumn("status", status(too_few))
-        .join(missing_sample(facts, key, n, dedupe), list(CHECK), "left")
+    return counted.join(missing_sample(facts, key, n, dedupe), list(CHECK), "left").selectExpr(
+        *counted.columns,
+        f"{status(too_few)} as status",
+        "coalesce(sample_missing, array()) as sample_missing",
     )

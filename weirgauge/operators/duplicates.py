@@ -12,12 +12,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgauge.functions import date_of, day
-
-ROW_COUNT = "row_count"
+from weirgauge.functions.expr import aggregate, date_of, day, name, struct, text
 
 
 @dataclass(frozen=True)
@@ -34,36 +32,29 @@ class KeySpec:
         return ", ".join(self.keys)
 
 
-def duplicate_groups(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row count."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROW_COUNT)).where(F.col(ROW_COUNT) > 1)
+    return aggregate(df.groupBy(*keys), "count(1) as row_count").where("row_count > 1")
 
 
 def duplicate_stats(groups: DataFrame) -> DataFrame:
     """One row: number of duplicated keys and rows beyond the first of each (0, 0 if none)."""
-    return groups.agg(
-        F.count(F.lit(1)).alias("duplicate_key_groups"),
-        F.coalesce(F.sum(F.col(ROW_COUNT) - 1), F.lit(0)).alias("extra_duplicate_rows"),
+    return aggregate(
+        groups, "count(1) as duplicate_key_groups", "coalesce(sum(row_count - 1), 0) as extra_duplicate_rows"
     )
 
 
-def _worst(groups: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """The ``n`` most repeated keys; a bounded heap per task, then one merge."""
-    return groups.orderBy(F.desc(ROW_COUNT), *[F.asc_nulls_last(k) for k in keys]).limit(n)
-
+def _worst(groups: DataFrame, keys: Sequence[str], item: str, n: int) -> DataFrame:
+    """One row: the ``n`` most repeated keys as an ordered array.
 
-def _worst_array(groups: DataFrame, keys: Sequence[str], item: Column, n: int) -> DataFrame:
-    packed = F.collect_list(
-        F.struct(
-            (-F.col(ROW_COUNT)).alias("by_count"),
-            *[F.struct(F.col(k).isNull().alias("last"), F.col(k).alias("v")).alias(f"by_{i}")
-              for i, k in enumerate(keys)],
-            item.alias("item"),
-        )
-    )
-    return _worst(groups, keys, n).agg(
-        F.transform(F.sort_array(packed), lambda entry: entry["item"]).alias("top_duplicate_keys")
-    )
+    The limit is a bounded heap per task and one merge; the array is built from
+    what is left. Ties go to the smaller key, NULLs last, and are ordered the
+    same way inside the array.
+    """
+    best = groups.orderBy(F.expr("row_count").desc(), *[F.expr(name(k)).asc_nulls_last() for k in keys]).limit(n)
+    position = ", ".join(f"{name(k)} is null as null_{i}, {name(k)} as key_{i}" for i, k in enumerate(keys))
+    packed = f"sort_array(collect_list(struct(-row_count as by_count, {position}, {item} as item)))"
+    return aggregate(best, f"transform({packed}, entry -> entry.item) as top_duplicate_keys")
 
 
 def top_duplicates(groups: DataFrame, keys: Sequence[str], show: Sequence[str], n: int = 5) -> DataFrame:
@@ -72,11 +63,9 @@ def top_duplicates(groups: DataFrame, keys: Sequence[str], show: Sequence[str],
     Keys are grouped by all of ``keys`` but only ``show`` is displayed, so two
     entries may look the same.
     """
-    item = F.struct(*show, ROW_COUNT)
-    worst = _worst_array(groups, keys, item, n)
-    return worst.select(F.posexplode("top_duplicate_keys").alias("pos", "item")).select(
-        (F.col("pos") + 1).alias("rank"), "item.*"
-    )
+    item = struct({column: name(column) for column in (*show, "row_count")})
+    worst = _worst(groups, keys, item, n)
+    return worst.selectExpr("posexplode(top_duplicate_keys) as (pos, item)").selectExpr("pos + 1 as rank", "item.*")
 
 
 def duplicate_report(
@@ -89,23 +78,23 @@ def duplicate_report(
     """
     shown = list(dict.fromkeys(column for spec in specs.values() for column in spec.show))
     parts: list[DataFrame] = []
-    for name, spec in specs.items():
+    for table, spec in specs.items():
         rows = spec.df
         if as_of is not None and spec.date is not None:
-            rows = rows.where(date_of(spec.date) == day(as_of))
+            rows = rows.where(f"{date_of(spec.date)} = {day(as_of)}")
         groups = duplicate_groups(rows, spec.keys)
-        element = F.struct(
-            *[(F.col(c) if c in spec.show else F.lit(None)).alias(c) for c in shown],
-            F.col(ROW_COUNT),
-            F.lit(spec.field).alias("field"),
+        element = struct(
+            {c: name(c) if c in spec.show else "null" for c in shown}
+            | {"row_count": "row_count", "field": text(spec.field)}
         )
-        label = F.lit(name).alias("source_table")
-        parts.append(duplicate_stats(groups).select(label, "duplicate_key_groups", "extra_duplicate_rows"))
-        parts.append(_worst_array(groups, spec.keys, element, n).select(label, "top_duplicate_keys"))
+        label = f"{text(table)} as source_table"
+        parts.append(duplicate_stats(groups).selectExpr(label, "duplicate_key_groups", "extra_duplicate_rows"))
+        parts.append(_worst(groups, spec.keys, element, n).selectExpr(label, "top_duplicate_keys"))
     # Each part is one row; regrouping by table name brings the two halves together.
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return stacked.groupBy("source_table").agg(
-        F.max("duplicate_key_groups").alias("duplicate_key_groups"),
-        F.max("extra_duplicate_rows").alias("extra_duplicate_rows"),
-        F.first("top_duplicate_keys", ignorenulls=True).alias("top_duplicate_keys"),
+    return aggregate(
+        stacked.groupBy("source_table"),
+        "max(duplicate_key_groups) as duplicate_key_groups",
+        "max(extra_duplicate_rows) as extra_duplicate_rows",
+        "first(top_duplicate_keys, true) as top_duplicate_keys",
     )

@@ -5,43 +5,32 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from weirgauge.functions import ALERT
+from weirgauge.functions.expr import ALERT, struct
 
 KEYS = ("alert_type", "issue_type", "source_table", "alert_date")
 METRICS = ("metric_1", "metric_2", "metric_3", "metric_4")
 RECORD = (*KEYS, *METRICS, "detail")
 
 
-def detail(fields: Mapping[str, Column]) -> Column:
-    """JSON object of the given members; NULL members are left out."""
-    return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
-
-
-def envelope(
-    card: DataFrame,
-    alert_type: Column,
-    issue_type: Column,
-    source_table: Column,
-    alert_date: Column,
-    metrics: Sequence[Column | None],
-    payload: Column,
-) -> DataFrame:
-    """Project a scorecard (with ``status``) to the alert record plus status."""
-    padded = [*metrics, *[None] * (len(METRICS) - len(metrics))]
-    return card.select(
-        alert_type.alias("alert_type"),
-        issue_type.alias("issue_type"),
-        source_table.alias("source_table"),
-        alert_date.alias("alert_date"),
-        *[
-            (F.lit(None) if value is None else value).cast("double").alias(name)
-            for name, value in zip(METRICS, padded, strict=True)
-        ],
+def detail(members: Mapping[str, str]) -> str:
+    """JSON object of the given members (SQL text); NULL members are left out."""
+    return f"to_json({struct(members)})"
+
+
+def envelope(card: DataFrame, keys: Sequence[str], metrics: Sequence[str], payload: str) -> DataFrame:
+    """Project a scorecard (with ``status``) to the alert record plus status.
+
+    ``keys`` are the four key columns and ``metrics`` up to four figures, as SQL
+    text; missing figures are NULL. All figures are doubles.
+    """
+    figures = [*metrics, *["null"] * (len(METRICS) - len(metrics))]
+    return card.selectExpr(
+        *[f"{value} as {column}" for column, value in zip(KEYS, keys, strict=True)],
+        *[f"cast({value} as double) as {column}" for column, value in zip(METRICS, figures, strict=True)],
         "status",
-        payload.alias("detail"),
+        f"{payload} as detail",
     )
 
 
@@ -52,7 +41,7 @@ def scorecard(*arms: DataFrame) -> DataFrame:
 
 def alerts(card: DataFrame) -> DataFrame:
     """The breached rows in the nine-column record."""
-    return card.where(F.col("status") == ALERT).select(*RECORD)
+    return card.where(f"status = '{ALERT}'").select(*RECORD)
 
 
 def ordered_report(alert_rows: DataFrame) -> DataFrame:

@@ -2,26 +2,34 @@
 
 A template is plain text with placeholders ``{member:format}`` that name members
 of the alert's JSON detail (or a column of the record); ``{a+b:path}`` joins the
-members that are present. A template becomes one column expression, so rendering
-is a projection over the alert table.
+members that are present. A template becomes one expression, so rendering is a
+projection over the alert table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
 from string import Formatter
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
-from weirgauge.functions import day
+from weirgauge.functions.expr import aggregate, as_date, name, text
 from weirgauge.operators.envelope import KEYS
 
 MISSING = "n/a"
+NUMERIC = "decimal(38,6)"
+
+#: Placeholder formats: SQL type read from the detail, and how it is printed.
+#: Percentages are rounded first because format_number alone rounds half to even.
+FORMATS: dict[str, tuple[str, Callable[[str], str]]] = {
+    "text": ("string", lambda v: f"cast({v} as string)"),
+    "count": (NUMERIC, lambda v: f"format_number({v}, 0)"),
+    "money": (NUMERIC, lambda v: f"format_number(round({v}, 2), 2)"),
+    "pct": (NUMERIC, lambda v: f"format_number(round({v}, 1), 1)"),
+    "share": (NUMERIC, lambda v: f"format_number(round({v} * 100, 1), 1)"),
+}
 
 
 @dataclass(frozen=True)
@@ -32,62 +40,48 @@ class MessageTemplate:
     items: Mapping[str, str] = field(default_factory=dict)
 
 
-def _placeholders(text: str) -> list[tuple[str, str | None, str]]:
-    return [(literal, name, spec or "text") for literal, name, spec, _ in Formatter().parse(text)]
-
-
-def _number(value: Column) -> Column:
-    return value.cast("decimal(38,6)")
-
-
-FORMATS = {
-    "text": lambda v: v.cast("string"),
-    "count": lambda v: F.format_number(_number(v), 0),
-    "money": lambda v: F.format_number(F.round(_number(v), 2), 2),
-    # Rounded before formatting: format_number alone rounds half to even.
-    "pct": lambda v: F.format_number(F.round(_number(v), 1), 1),
-    "share": lambda v: F.format_number(F.round(_number(v) * 100, 1), 1),
-}
+def _placeholders(template: str) -> list[tuple[str, str | None, str]]:
+    return [(literal, member, spec or "text") for literal, member, spec, _ in Formatter().parse(template)]
 
 
-def _lines(array: Column, line: str) -> Column:
-    return F.transform(array, lambda entry: F.concat(F.lit("\n• "), _fill(line, lambda n: entry[n], {})))
+def _of_record(member: str) -> bool:
+    return member in KEYS and member != "source_table"
 
 
-def _fill(text: str, lookup, items: Mapping[str, str]) -> Column:
-    parts: list[Column] = []
-    for literal, name, spec in _placeholders(text):
+def _fill(template: str, items: Mapping[str, str], owner: str) -> str:
+    parts: list[str] = []
+    for literal, member, spec in _placeholders(template):
         if literal:
-            parts.append(F.lit(literal))
-        if name is None:
+            parts.append(text(literal))
+        if member is None:
             continue
+        value = name(member) if _of_record(member) else f"{owner}.{name(member)}"
         if spec == "list":
-            parts.append(F.coalesce(F.array_join(_lines(lookup(name), items[name]), ""), F.lit("")))
+            line = _fill(items[member], {}, "entry")
+            parts.append(f"coalesce(array_join(transform({value}, entry -> concat('\n• ', {line})), ''), '')")
         elif spec == "path":
-            parts.append(F.concat_ws(" / ", *[lookup(n) for n in name.split("+")]))
+            members = ", ".join(f"{owner}.{name(m)}" for m in member.split("+"))
+            parts.append(f"concat_ws(' / ', {members})")
         else:
-            parts.append(F.coalesce(FORMATS[spec](lookup(name)), F.lit(MISSING)))
-    return F.concat(*parts)
-
-
-def _detail_schema(templates: Mapping[str, MessageTemplate]) -> T.StructType:
-    """Members any template asks for; scalars are read as text and formatted later."""
-    members: dict[str, T.DataType] = {}
-    lists: dict[str, dict[str, None]] = {}
-    for template in templates.values():
-        for _, name, spec in _placeholders(template.text):
-            if name is None or name in KEYS and name != "source_table":
-                continue
-            if spec == "list":
-                fields = lists.setdefault(name, {})
-                for _, shown, _ in _placeholders(template.items[name]):
-                    fields.update(dict.fromkeys(shown.split("+") if shown else ()))
-            else:
-                members[name] = T.StringType()
-    for name, fields in lists.items():
-        element = T.StructType([T.StructField(n, T.StringType()) for n in fields])
-        members[name] = T.ArrayType(element)
-    return T.StructType([T.StructField(name, kind) for name, kind in members.items()])
+            parts.append(f"coalesce({FORMATS[spec][1](value)}, '{MISSING}')")
+    return f"concat({', '.join(parts)})"
+
+
+def _members(template: str) -> dict[str, str]:
+    """Detail members a text asks for, with the type they are read as."""
+    found: dict[str, str] = {}
+    for _, member, spec in _placeholders(template):
+        if member is not None and spec != "list" and not _of_record(member):
+            found.update(dict.fromkeys(member.split("+"), FORMATS[spec][0] if spec in FORMATS else "string"))
+    return found
+
+
+def _detail_schema(template: MessageTemplate) -> str:
+    fields = [f"{name(m)} {kind}" for m, kind in _members(template.text).items()]
+    for member, line in template.items.items():
+        inner = ", ".join(f"{name(m)}: {kind}" for m, kind in _members(line).items())
+        fields.append(f"{name(member)} array<struct<{inner}>>")
+    return ", ".join(fields)
 
 
 def render(alert_rows: DataFrame, templates: Mapping[str, MessageTemplate]) -> DataFrame:
@@ -95,31 +89,25 @@ def render(alert_rows: DataFrame, templates: Mapping[str, MessageTemplate]) -> D
 
     A template is looked up by issue type first, then by alert type.
     """
-    parsed = alert_rows.withColumn("d", F.from_json("detail", _detail_schema(templates)))
-
-    def lookup(name: str) -> Column:
-        return F.col(name) if name in KEYS and name != "source_table" else F.col("d")[name]
-
-    filled = {name: _fill(t.text, lookup, t.items) for name, t in templates.items()}
-    by_type = reduce(
-        lambda other, name: F.when(F.col("alert_type") == name, filled[name]).otherwise(other),
-        filled,
-        F.lit(None).cast("string"),
+    chosen = " ".join(f"when issue_type = {text(k)} then {text(k)}" for k in templates)
+    keyed = alert_rows.selectExpr(*KEYS, "detail", f"case {chosen} else alert_type end as template")
+    # Every template reads the detail with its own schema; numbers stay exact.
+    parsed = keyed.selectExpr(
+        "*", *[f"from_json(detail, {text(_detail_schema(t))}) as detail_{i}" for i, t in enumerate(templates.values())]
     )
-    message = reduce(
-        lambda other, name: F.when(F.col("issue_type") == name, filled[name]).otherwise(other), filled, by_type
+    arms = " ".join(
+        f"when {text(k)} then {_fill(t.text, t.items, f'detail_{i}')}" for i, (k, t) in enumerate(templates.items())
     )
-    return parsed.select("alert_type", "issue_type", message.alias("message"))
+    return parsed.selectExpr("alert_type", "issue_type", f"case template {arms} end as message")
 
 
-def all_clear(alert_rows: DataFrame, as_of: dt.date | str, text: str) -> DataFrame:
+def all_clear(alert_rows: DataFrame, as_of: dt.date | str, message: str) -> DataFrame:
     """One row if there are no alerts, none otherwise. Looks at a single alert at most."""
-    seen = alert_rows.select(F.lit(1).alias("one")).limit(1).agg(F.count("one").alias("n"))
-    before, after = text.split("{date}")
-    return seen.where("n = 0").select(
-        F.lit("all_clear").alias("alert_type"),
-        F.lit("all_clear").alias("issue_type"),
-        F.concat(F.lit(before), day(as_of).cast("string"), F.lit(after)).alias("message"),
+    seen = aggregate(alert_rows.limit(1), "count(1) as n")
+    return seen.where("n = 0").selectExpr(
+        "'all_clear' as alert_type",
+        "'all_clear' as issue_type",
+        f"{text(message.format(date=as_date(as_of)))} as message",
     )
 
 

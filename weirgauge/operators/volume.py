@@ -8,19 +8,24 @@ from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from weirgauge.functions import (
+from weirgauge.functions.expr import (
+    aggregate,
     date_of,
     day,
     exceeds_ratio,
+    holds,
     likely_cause,
+    number,
     percent,
     ratio,
     status,
+    text,
 )
 
+GAP = "abs(current_record_count - expected_record_count)"
+
 
 @dataclass(frozen=True)
 class DailyTable:
@@ -43,13 +48,13 @@ def daily_counts(
     stacked = reduce(
         DataFrame.unionByName,
         [
-            t.df.where(date_of(t.date).between(start, day(as_of))).select(
-                F.lit(name).alias("source_table"), date_of(t.date).alias("record_date")
+            t.df.where(f"{date_of(t.date)} between {start} and {day(as_of)}").selectExpr(
+                f"{text(table)} as source_table", f"{date_of(t.date)} as record_date"
             )
-            for name, t in tables.items()
+            for table, t in tables.items()
         ],
     )
-    return stacked.groupBy("source_table", "record_date").agg(F.count(F.lit(1)).alias("record_count"))
+    return aggregate(stacked.groupBy("source_table", "record_date"), "count(1) as record_count")
 
 
 def trailing_baseline(counts: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame:
@@ -58,27 +63,21 @@ def trailing_baseline(counts: DataFrame, as_of: dt.date | str, days: int = 7) ->
     The total and the number of days are kept beside the mean so that the
     threshold can be tested without rounding.
     """
-    before = F.col("record_date").between(day(as_of, days), day(as_of, 1))
-    return counts.groupBy("source_table").agg(
-        F.max(F.when(F.col("record_date") == day(as_of), F.col("record_count"))).alias("current_record_count"),
-        F.sum(F.when(before, F.col("record_count"))).alias("baseline_rows"),
-        F.count(F.when(before, F.lit(1))).alias("baseline_days"),
-        F.avg(F.when(before, F.col("record_count"))).alias("expected_record_count"),
+    before = f"record_date between {day(as_of, days)} and {day(as_of, 1)}"
+    return aggregate(
+        counts.groupBy("source_table"),
+        f"max(record_count) filter (where record_date = {day(as_of)}) as current_record_count",
+        f"sum(record_count) filter (where {before}) as baseline_rows",
+        f"count(1) filter (where {before}) as baseline_days",
+        f"avg(record_count) filter (where {before}) as expected_record_count",
     )
 
 
-def _breach(threshold: Decimal | str, rounded: bool) -> Column:
+def _breach(threshold: Decimal | str, rounded: bool = False) -> str:
     if rounded:
-        shown = percent(_gap(), F.col("expected_record_count"))
-        return F.coalesce(shown > F.lit(float(Decimal(threshold) * 100)), F.lit(False))
+        return holds(f"{percent(GAP, 'expected_record_count')} > {number(Decimal(threshold) * 100)}")
     # |count - rows/days| / (rows/days) > t, multiplied out by the number of days.
-    return exceeds_ratio(
-        F.col("current_record_count") * F.col("baseline_days"), F.col("baseline_rows"), threshold
-    )
-
-
-def _gap() -> Column:
-    return F.abs(F.col("current_record_count") - F.col("expected_record_count"))
+    return exceeds_ratio("current_record_count * baseline_days", "baseline_rows", threshold)
 
 
 def volume_scorecard(
@@ -96,41 +95,42 @@ def volume_scorecard(
     deviation after rounding to two digits.
     """
     base = trailing_baseline(daily_counts(tables, as_of, days), as_of, days)
-    card = base.where(F.col("current_record_count").isNotNull() & (F.col("baseline_days") > 0)).select(
+    card = base.where("current_record_count is not null and baseline_days > 0").selectExpr(
         "source_table",
-        day(as_of).alias("record_date"),
+        f"{day(as_of)} as record_date",
         "current_record_count",
         "expected_record_count",
-        percent(_gap(), F.col("expected_record_count")).alias("deviation_pct"),
-        status(_breach(threshold, rounded)).alias("status"),
+        f"{percent(GAP, 'expected_record_count')} as deviation_pct",
+        f"{status(_breach(threshold, rounded))} as status",
     )
     if duplicates is None:
         return card
-    return (
-        card.join(duplicates, "source_table", "left")
-        .withColumn("duplicate_key_groups", F.coalesce("duplicate_key_groups", F.lit(0)))
-        .withColumn("extra_duplicate_rows", F.coalesce("extra_duplicate_rows", F.lit(0)))
-        .withColumn("likely_cause", likely_cause(F.col("duplicate_key_groups"), days))
+    return card.join(duplicates, "source_table", "left").selectExpr(
+        *card.columns,
+        "coalesce(duplicate_key_groups, 0) as duplicate_key_groups",
+        "coalesce(extra_duplicate_rows, 0) as extra_duplicate_rows",
+        "coalesce(top_duplicate_keys, array()) as top_duplicate_keys",
+        f"{likely_cause('duplicate_key_groups', days)} as likely_cause",
     )
 
 
 def volume_scorecard_single(
     table: DailyTable,
-    name: str,
+    label: str,
     as_of: dt.date | str,
     days: int = 7,
     threshold: Decimal | str = "0.20",
 ) -> DataFrame:
     """The same test for one table, reporting the signed row difference and a plain ratio."""
-    base = trailing_baseline(daily_counts({name: table}, as_of, days), as_of, days)
-    return base.where(F.col("current_record_count").isNotNull()).select(
+    base = trailing_baseline(daily_counts({label: table}, as_of, days), as_of, days)
+    return base.where("current_record_count is not null").selectExpr(
         "source_table",
-        day(as_of).alias("record_date"),
+        f"{day(as_of)} as record_date",
         "current_record_count",
-        (F.col("current_record_count") - F.col("expected_record_count")).alias("diff_record"),
-        F.round("expected_record_count", 2).alias("expected_record_count"),
-        F.round(ratio(_gap(), F.col("expected_record_count")), 2).alias("deviation_ratio"),
-        status(_breach(threshold, rounded=False)).alias("status"),
+        "current_record_count - expected_record_count as diff_record",
+        "round(expected_record_count, 2) as expected_record_count",
+        f"round({ratio(GAP, 'expected_record_count')}, 2) as deviation_ratio",
+        f"{status(_breach(threshold))} as status",
     )
 
 
@@ -147,21 +147,27 @@ def volume_backfill(
     one row per table and day. A day without any earlier day in range keeps a
     NULL expectation and never alerts.
     """
-    calendar = F.datediff("record_date", F.lit("1970-01-01").cast("date"))
-    trailing = Window.partitionBy("source_table").orderBy(calendar).rangeBetween(-days, -1)
-    counts = daily_counts(tables, last, days, first)
+    frame = (
+        "(partition by source_table order by unix_date(record_date) "
+        f"range between {days} preceding and 1 preceding)"
+    )
     return (
-        counts.withColumnRenamed("record_count", "current_record_count")
-        .withColumn("baseline_rows", F.sum("current_record_count").over(trailing))
-        .withColumn("baseline_days", F.count("current_record_count").over(trailing))
-        .withColumn("expected_record_count", F.avg("current_record_count").over(trailing))
-        .where(F.col("record_date") >= day(first))
-        .select(
+        daily_counts(tables, last, days, first)
+        .selectExpr(
+            "source_table",
+            "record_date",
+            "record_count as current_record_count",
+            f"sum(record_count) over {frame} as baseline_rows",
+            f"count(record_count) over {frame} as baseline_days",
+            f"avg(record_count) over {frame} as expected_record_count",
+        )
+        .where(f"record_date >= {day(first)}")
+        .selectExpr(
             "source_table",
             "record_date",
             "current_record_count",
             "expected_record_count",
-            percent(_gap(), F.col("expected_record_count")).alias("deviation_pct"),
-            status(_breach(threshold, rounded=False)).alias("status"),
+            f"{percent(GAP, 'expected_record_count')} as deviation_pct",
+            f"{status(_breach(threshold))} as status",
         )
     )

@@ -7,10 +7,9 @@ derived from ``events`` by projection, one input row giving one or two output ro
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirgauge.functions import date_of
+from weirgauge.functions.expr import name, text
 from weirgauge.operators.change import ChangeCheck, PinnedTable, Side
 from weirgauge.operators.coverage import CoverageCheck, CoverageSpec
 from weirgauge.operators.volume import DailyTable
@@ -24,23 +23,23 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 def comparable(df: DataFrame) -> DataFrame:
     """Dates as ISO text and decimals as doubles, the forms every engine agrees on."""
-    out = []
-    for column in df.schema.fields:
-        value = F.col(column.name)
-        if isinstance(column.dataType, T.DateType):
-            value = value.cast("string")
-        elif isinstance(column.dataType, T.DecimalType):
-            value = value.cast("double")
-        out.append(value.alias(column.name))
-    return df.select(*out)
+    forms = {T.DateType: "string", T.DecimalType: "double"}
+    return df.selectExpr(
+        *[
+            f"cast({name(c.name)} as {forms[type(c.dataType)]}) as {name(c.name)}"
+            if type(c.dataType) in forms
+            else name(c.name)
+            for c in df.schema.fields
+        ]
+    )
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, "events", sf_dir).withColumn("amount", F.col("value").cast("decimal(18,2)"))
+    return read_table(spark, "events", sf_dir).selectExpr("*", "cast(value as decimal(18,2)) as amount")
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, "orders", sf_dir).withColumn("amount", F.col("o_totalprice").cast("decimal(18,2)"))
+    return read_table(spark, "orders", sf_dir).selectExpr("*", "cast(o_totalprice as decimal(18,2)) as amount")
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +47,7 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_day_key(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_day", date_of("ts"))
+    return df.selectExpr("*", "cast(ts as date) as event_day")
 
 
 # -- counted tables -----------------------------------------------------------
@@ -106,84 +105,61 @@ EVENT_COVERAGE = CoverageSpec(
 # -- the revenue monitor over derived tables ------------------------------------------
 
 
-def _recode(mapping: dict[str, str], default: str | None = None) -> F.Column:
-    value = F.lit(default)
-    for source, target in mapping.items():
-        value = F.when(F.col("event_type") == source, F.lit(target)).otherwise(value)
-    return value
-
-
 PRODUCTS = {"click": "PAY001", "view": "UK0001", "purchase": "COR0001", "signup": "COR0001", "error": "UK0002"}
 SOURCES = {"click": "fact company usage", "view": "Billing_Group", "purchase": "pento_payroll_usage"}
 
 
-def _keys(df: DataFrame) -> DataFrame:
-    return df.select(
-        F.col("user_id").alias("company_id"),
-        F.concat(F.lit("Account "), F.col("user_id").cast("string")).alias("account_name"),
-        _recode(PRODUCTS).alias("product_code"),
-        F.when(F.col("value") < 25, "arr").otherwise("carr").alias("revenue_type"),
-        F.when(F.col("value") < 250, "actual").otherwise("budget").alias("model_type"),
-        date_of("ts").alias("date_id"),
-        F.col("amount").alias("end_budget_usd"),
-        F.floor("value").alias("number_of_employees"),
-        "event_type",
-        "value",
-        "ts",
-        "amount",
-    )
+def _recode(mapping: dict[str, str], default: str = "null") -> str:
+    arms = " ".join(f"when {text(source)} then {text(target)}" for source, target in mapping.items())
+    return f"case event_type {arms} else {default} end"
+
+
+KEYS = (
+    "user_id as company_id",
+    "concat('Account ', user_id) as account_name",
+    f"{_recode(PRODUCTS)} as product_code",
+    "case when value < 25 then 'arr' else 'carr' end as revenue_type",
+    "case when value < 250 then 'actual' else 'budget' end as model_type",
+)
+MEASURES = ("amount as end_budget_usd", "cast(floor(value) as bigint) as number_of_employees")
+EVENT_DATE = "cast(ts as date)"
 
 
 def derived_daily(rows: DataFrame) -> DataFrame:
-    return _keys(rows).select(
-        "company_id",
-        "account_name",
-        "product_code",
-        "revenue_type",
-        "model_type",
-        "date_id",
-        (F.col("event_type") != "error").alias("is_active_product"),
-        F.when(F.col("value") < 2, "Churned").when(F.col("value") < 4, "Pending Churn").otherwise("Customer")
-        .alias("account_status"),
-        F.when(F.hour("ts") < 12, "yes").otherwise("no").alias("grouping_ind"),
-        "end_budget_usd",
-        "number_of_employees",
-    )
+    return rows.selectExpr(
+        *KEYS,
+        f"{EVENT_DATE} as date_id",
+        "event_type <> 'error' as is_active_product",
+        "case when value < 2 then 'Churned' when value < 4 then 'Pending Churn' else 'Customer' end as account_status",
+        "case when hour(ts) < 12 then 'yes' else 'no' end as grouping_ind",
+        *MEASURES,
+    )
 
 
 def derived_snapshot(rows: DataFrame) -> DataFrame:
     """Every business day as seen on that day; signups are restated in the next day's snapshot."""
-    restated = F.when(F.col("event_type") == "signup", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return (
-        _keys(rows)
-        .withColumn("late", F.explode(restated))
-        .select(
-            "company_id",
-            "account_name",
-            "product_code",
-            "revenue_type",
-            "model_type",
-            F.date_add("date_id", F.col("late")).alias("date_key"),
-            "date_id",
-            "end_budget_usd",
-            "number_of_employees",
-            (F.col("amount") * 1000).cast("decimal(18,2)").alias("natural_growth_budget_usd"),
-        )
-    )
+    restated = f"array({EVENT_DATE}, case when event_type = 'signup' then date_add({EVENT_DATE}, 1) end)"
+    return rows.selectExpr(
+        *KEYS,
+        f"explode({restated}) as date_key",
+        f"{EVENT_DATE} as date_id",
+        *MEASURES,
+        "cast(amount * 1000 as decimal(18,2)) as natural_growth_budget_usd",
+    ).where("date_key is not null")
 
 
 def derived_usage(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        F.col("user_id").alias("company_id"),
-        _recode(SOURCES, "other").alias("source_table"),
-        date_of("ts").alias("date_id"),
-        F.when(F.col("value") >= 1, F.floor(F.col("value") / 20)).alias("active_employees"),
+    return rows.selectExpr(
+        "user_id as company_id",
+        f"{_recode(SOURCES, text('other'))} as source_table",
+        f"{EVENT_DATE} as date_id",
+        "case when value >= 1 then cast(floor(value / 20) as bigint) end as active_employees",
     )
 
 
 def derived_buckets(rows: DataFrame) -> DataFrame:
-    return _keys(rows.where(F.col("event_type").isin("purchase", "signup"))).select(
-        "company_id", "product_code", "revenue_type", "model_type", F.col("event_type").alias("bucket_name"), "date_id"
+    return rows.where("event_type in ('purchase', 'signup')").selectExpr(
+        *KEYS, "event_type as bucket_name", f"{EVENT_DATE} as date_id"
     )
 
 

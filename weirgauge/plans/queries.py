@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from weirgauge.functions import OK, date_of, day
+from weirgauge.functions.expr import OK, date_of, day, text
 from weirgauge.operators import change, contracts, coverage, duplicates, report, volume
+from weirgauge.operators.envelope import METRICS
 from weirgauge.plans import bindings as B
 from weirgauge.plans import fixed_values as V
 from weirgauge.sources import publish, read_table
@@ -39,9 +39,7 @@ def volume_daily_counts(spark, sf_dir):
 def volume_baseline(spark, sf_dir):
     """Trailing mean over the days that have rows."""
     counts = volume.daily_counts(B.counted_sales(spark, sf_dir), B.ORDER_DAY)
-    return volume.trailing_baseline(counts, B.ORDER_DAY).withColumn(
-        "expected_record_count", F.round("expected_record_count", 4)
-    )
+    return _shown(volume.trailing_baseline(counts, B.ORDER_DAY))
 
 
 def _event_duplicates(spark, sf_dir):
@@ -50,8 +48,10 @@ def _event_duplicates(spark, sf_dir):
     return duplicates.duplicate_report({"events": spec}, B.EVENT_DAY)
 
 
-def _shown(card):
-    return card.withColumn("expected_record_count", F.round("expected_record_count", 4))
+def _shown(card, *columns):
+    """Doubles rounded to four digits, for comparison across engines."""
+    doubles = columns or ("expected_record_count",)
+    return card.selectExpr(*[f"round({c}, 4) as {c}" if c in doubles else c for c in card.columns])
 
 
 @query
@@ -73,7 +73,7 @@ def volume_scorecard_sales(spark, sf_dir):
 def volume_single_table(spark, sf_dir):
     table = B.counted_events(spark, sf_dir)["events"]
     card = volume.volume_scorecard_single(table, "events", B.EVENT_DAY)
-    return card.withColumn("diff_record", F.round("diff_record", 4))
+    return _shown(card, "diff_record")
 
 
 @query
@@ -90,6 +90,7 @@ def volume_backfill_sales(spark, sf_dir):
 
 # -- duplicates -----------------------------------------------------------------
 
+ON_EVENT_DAY = f"{date_of('ts')} = {day(B.EVENT_DAY)}"
 LINE_KEY = ("l_orderkey", "l_linenumber")
 
 
@@ -101,7 +102,7 @@ def duplicate_stats(spark, sf_dir):
 
 @query
 def duplicate_stats_day(spark, sf_dir):
-    rows = B.event_day_key(B.events(spark, sf_dir)).where(date_of("ts") == day(B.EVENT_DAY))
+    rows = B.event_day_key(B.events(spark, sf_dir)).where(ON_EVENT_DAY)
     return duplicates.duplicate_stats(duplicates.duplicate_groups(rows, ("user_id", "event_type", "event_day")))
 
 
@@ -115,7 +116,7 @@ def duplicate_keys(spark, sf_dir):
 @query
 def duplicate_keys_day(spark, sf_dir):
     """Grouped by user, type and day; only user and type are shown."""
-    rows = B.event_day_key(B.events(spark, sf_dir)).where(date_of("ts") == day(B.EVENT_DAY))
+    rows = B.event_day_key(B.events(spark, sf_dir)).where(ON_EVENT_DAY)
     keys = ("user_id", "event_type", "event_day")
     return duplicates.top_duplicates(duplicates.duplicate_groups(rows, keys), keys, ("user_id", "event_type"))
 
@@ -132,21 +133,15 @@ def duplicate_report(spark, sf_dir):
             ("user_id", "event_type"),
         ),
     }
-    table = duplicates.duplicate_report(specs)
-    return table.select(
-        "source_table",
-        "duplicate_key_groups",
-        "extra_duplicate_rows",
-        F.posexplode_outer("top_duplicate_keys").alias("pos", "k"),
-    ).select(
-        "source_table",
-        "duplicate_key_groups",
-        "extra_duplicate_rows",
-        (F.col("pos") + 1).alias("rank"),
-        "k.*",
+    return _key_rows(duplicates.duplicate_report(specs)).selectExpr(
+        "source_table", "duplicate_key_groups", "extra_duplicate_rows", "pos + 1 as rank", "k.*"
     )
 
 
+def _key_rows(table):
+    return table.selectExpr("*", "posexplode_outer(top_duplicate_keys) as (pos, k)")
+
+
 # -- change -----------------------------------------------------------------------
 
 
@@ -208,11 +203,12 @@ def eligible_population(spark, sf_dir):
 @query
 def prefix_eligibility(spark, sf_dir):
     """Suppliers shipping on the day, refined by the type prefix of their parts."""
-    today = B.lineitem(spark, sf_dir).where(date_of("l_shipdate") == day(B.ORDER_DAY))
-    typed = today.join(read_table(spark, "part", sf_dir), F.col("l_partkey") == F.col("p_partkey"))
+    today = B.lineitem(spark, sf_dir).where(f"{date_of('l_shipdate')} = {day(B.ORDER_DAY)}")
+    part = read_table(spark, "part", sf_dir).selectExpr("p_partkey as l_partkey", "p_type")
+    typed = today.join(part, "l_partkey")
     suppliers = coverage.eligible(today, "l_suppkey", "true", "l_shipdate", B.ORDER_DAY)
     arms = [
-        coverage.refine(suppliers, typed, "l_suppkey", predicate).select(F.lit(name).alias("rule"), "l_suppkey")
+        coverage.refine(suppliers, typed, "l_suppkey", predicate).selectExpr(f"{text(name)} as rule", "l_suppkey")
         for name, predicate in (("prefix", "p_type like 'ECON%'"), ("other", "p_type not like 'ECON%'"))
     ]
     return arms[0].unionByName(arms[1])
@@ -243,7 +239,7 @@ def coverage_scorecard(spark, sf_dir):
 @query
 def coverage_alerts(spark, sf_dir):
     card = coverage.coverage_scorecard(_facts(spark, sf_dir), "user_id").where("status = 'ALERT'")
-    return card.select("check_name", "eligible", "with_usage", F.size("sample_missing").alias("sample_size"))
+    return card.selectExpr("check_name", "eligible", "with_usage", "size(sample_missing) as sample_size")
 
 
 @query
@@ -280,31 +276,32 @@ def contract_forbidden(spark, sf_dir):
 
 @query
 def contract_report(spark, sf_dir):
-    return contracts.contract_report(B.events(spark, sf_dir), "event_type", WITHOUT_ERROR, "err")
+    rules = [
+        contracts.not_null("event_type"),
+        contracts.accepted_values("event_type", WITHOUT_ERROR),
+        contracts.retired_value("event_type", "err"),
+    ]
+    return contracts.contract_report(B.events(spark, sf_dir), rules)
 
 
 # -- the revenue monitor -----------------------------------------------------------------
 
-METRIC_COLUMNS = ["metric_1", "metric_2", "metric_3", "metric_4"]
-
 
 def _rounded(card):
-    for name in METRIC_COLUMNS:
-        card = card.withColumn(name, F.round(name, 4))
-    return card
+    return _shown(card.drop("detail"), *METRICS)
 
 
 @query
 def monitor_scorecard(spark, sf_dir):
     """All ten checks of the monitor, breached or not."""
-    return _rounded(B.revenue_monitor(spark, sf_dir).scorecard()).drop("detail")
+    return _rounded(B.revenue_monitor(spark, sf_dir).scorecard())
 
 
 @query
 def monitor_alerts(spark, sf_dir):
     """The alert union, published under a name and read back through it."""
     view = B.revenue_monitor(spark, sf_dir).publish("weirgauge_alerts")
-    return _rounded(view).drop("detail")
+    return _rounded(view)
 
 
 @query
@@ -312,10 +309,10 @@ def monitor_report(spark, sf_dir):
     """The ordered report; of the detail, the size of its lists."""
     table = B.revenue_monitor(spark, sf_dir).report()
     sizes = [
-        F.coalesce(F.json_array_length(F.get_json_object("detail", f"$.{member}")), F.lit(0)).alias(f"n_{member}")
+        f"coalesce(json_array_length(get_json_object(detail, '$.{member}')), 0) as n_{member}"
         for member in ("sample_missing_companies", "top_drivers", "top_duplicate_keys")
     ]
-    return table.select("alert_type", "issue_type", "source_table", "alert_date", *sizes)
+    return table.selectExpr("alert_type", "issue_type", "source_table", "alert_date", *sizes)
 
 
 @query
@@ -328,8 +325,8 @@ def monitor_contract(spark, sf_dir):
 def monitor_drivers(spark, sf_dir):
     """Drivers of the three change checks as rows."""
     card = B.revenue_monitor(spark, sf_dir).change_card()
-    return card.select("check_name", F.posexplode("top_drivers").alias("pos", "d")).select(
-        "check_name", (F.col("pos") + 1).alias("rank"), "d.entity", "d.name", "d.delta"
+    return card.selectExpr("check_name", "posexplode(top_drivers) as (pos, d)").selectExpr(
+        "check_name", "pos + 1 as rank", "d.entity", "d.name", "d.delta"
     )
 
 
@@ -337,34 +334,28 @@ def monitor_drivers(spark, sf_dir):
 def monitor_detail(spark, sf_dir):
     """Scalar members of the JSON detail of every check, as rows of text."""
     card = B.revenue_monitor(spark, sf_dir).scorecard()
-    members = (
-        "total_eligible_companies", "companies_with_usage", "threshold_pct", "current_value", "previous_value",
-        "current_employee_count", "previous_employee_count", "prev_day_natural_growth",
-        "two_days_ago_natural_growth", "current_record_count", "duplicate_key_groups", "extra_duplicate_rows",
-        "likely_cause", "measure_field", "date",
-    )
-    as_map = F.from_json("detail", "map<string,string>")
-    rows = card.select("issue_type", F.explode(as_map).alias("member", "content"))
-    return rows.where(F.col("member").isin(*members))
+    counts = ("total_eligible_companies", "companies_with_usage", "threshold_pct", "current_employee_count",
+              "previous_employee_count", "current_record_count", "duplicate_key_groups", "extra_duplicate_rows")
+    amounts = ("current_value", "previous_value", "prev_day_natural_growth", "two_days_ago_natural_growth")
+    texts = ("likely_cause", "measure_field", "date")
+    kinds = {**dict.fromkeys(counts, "bigint"), **dict.fromkeys(amounts, "decimal(38,2)"), **dict.fromkeys(texts, "string")}
+    schema = ", ".join(f"{member} {kind}" for member, kind in kinds.items())
+    pairs = ", ".join(f"struct('{member}' as member, cast(d.{member} as string) as content)" for member in kinds)
+    parsed = card.selectExpr("issue_type", f"from_json(detail, '{schema}') as d")
+    return parsed.selectExpr("issue_type", f"inline(array({pairs}))").where("content is not null")
 
 
 @query
 def monitor_duplicates(spark, sf_dir):
     """Duplicate diagnostics of the four tables, worst keys as rows."""
-    table = B.revenue_monitor(spark, sf_dir).duplicate_card()
-    return table.select(
-        "source_table",
-        "duplicate_key_groups",
-        "extra_duplicate_rows",
-        F.posexplode_outer("top_duplicate_keys").alias("pos", "k"),
-    ).select(
-        F.col("source_table").alias("checked_table"),
+    return _key_rows(B.revenue_monitor(spark, sf_dir).duplicate_card()).selectExpr(
+        "source_table as checked_table",
         "duplicate_key_groups",
         "extra_duplicate_rows",
-        (F.col("pos") + 1).alias("rank"),
+        "pos + 1 as rank",
         "k.company_id",
         "k.product_code",
-        F.col("k.source_table").alias("usage_source"),
+        "k.source_table as usage_source",
         "k.row_count",
     )
 
@@ -373,13 +364,10 @@ def monitor_duplicates(spark, sf_dir):
 def monitor_duplicates_by_bucket(spark, sf_dir):
     """The bucket table checked on its other natural key."""
     monitor = B.revenue_monitor(spark, sf_dir, bucket_keys=V.BUCKET_KEYS_BY_NAME)
-    table = monitor.duplicate_card().where(F.col("source_table") == V.BUCKETS)
-    return table.select(
-        "duplicate_key_groups", "extra_duplicate_rows", F.posexplode_outer("top_duplicate_keys").alias("pos", "k")
-    ).select(
+    return _key_rows(monitor.duplicate_card([V.BUCKETS])).selectExpr(
         "duplicate_key_groups",
         "extra_duplicate_rows",
-        (F.col("pos") + 1).alias("rank"),
+        "pos + 1 as rank",
         "k.company_id",
         "k.bucket_name",
         "k.row_count",
@@ -390,8 +378,8 @@ def monitor_duplicates_by_bucket(spark, sf_dir):
 def monitor_sample(spark, sf_dir):
     """Companies without usage per coverage sub-check, as rows."""
     card = B.revenue_monitor(spark, sf_dir).coverage_card()
-    return card.select("check_name", F.posexplode("sample_missing").alias("pos", "c")).select(
-        "check_name", (F.col("pos") + 1).alias("rank"), "c.company_id"
+    return card.selectExpr("check_name", "posexplode(sample_missing) as (pos, c)").selectExpr(
+        "check_name", "pos + 1 as rank", "c.company_id"
     )
 
 
@@ -405,14 +393,14 @@ def monitor_messages(spark, sf_dir):
 def all_clear(spark, sf_dir):
     """One row exactly when the event volume check raised nothing."""
     card = volume.volume_scorecard(B.counted_events(spark, sf_dir), B.EVENT_DAY)
-    return report.all_clear(card.where(F.col("status") != OK), B.EVENT_DAY, V.ALL_CLEAR)
+    return report.all_clear(card.where(f"status <> '{OK}'"), B.EVENT_DAY, V.ALL_CLEAR)
 
 
 def _check(name: str) -> None:
     def run(spark, sf_dir):
         frame = B.revenue_monitor(spark, sf_dir).check(name).drop("detail")
         if "diff_record" in frame.columns:
-            frame = frame.withColumn("diff_record", F.round("diff_record", 4))
+            frame = _shown(frame, "diff_record")
         return frame
 
     run.__name__ = f"check_{name}"

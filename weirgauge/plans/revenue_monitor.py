@@ -6,13 +6,12 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from weirgauge.functions import deviation_cause, plain
+from weirgauge.functions.expr import deviation_cause, plain, struct, text
 from weirgauge.operators import envelope as env
 from weirgauge.operators.change import ChangeCheck, PinnedTable, Side, change_scorecard
-from weirgauge.operators.contracts import contract_report
+from weirgauge.operators.contracts import accepted_values, contract_report, not_null, retired_value
 from weirgauge.operators.coverage import CoverageCheck, CoverageSpec, coverage_scorecard, entity_facts
 from weirgauge.operators.duplicates import KeySpec, duplicate_report
 from weirgauge.operators.report import messages
@@ -44,9 +43,9 @@ class ChangeReport:
     driver_constants: Mapping[str, str]
     digits: int = 2
 
-    @property
-    def delta(self) -> str:
-        return f"delta_{self.check.measure}"
+    def shown(self, column: str) -> str:
+        """A figure in fixed-point form; totals carry the measure's own number of digits."""
+        return plain(column, self.digits if column in ("current_value", "previous_value") else 2)
 
 
 _TODAY, _SNAP_1, _SNAP_2 = Side(V.DAILY), Side(V.SNAPSHOT, 1), Side(V.SNAPSHOT, 2)
@@ -117,13 +116,16 @@ CHANGES = {
     ),
 }
 
+VOLUME_ISSUE = f"concat('{V.VOLUME}_', lower(source_table))"
+
 
 @dataclass(frozen=True)
 class RevenueMonitor:
     """The monitor bound to its four tables and a day.
 
     ``dedupe=False`` repeats an entity in the missing sample once per product
-    row. ``detail_constants`` adds fixed members to the detail of an issue type.
+    row. ``detail_constants`` adds fixed members to the detail of an alert or
+    issue type.
     """
 
     daily: DataFrame
@@ -165,15 +167,16 @@ class RevenueMonitor:
             V.BUCKETS: DailyTable(self.buckets, "date_id"),
         }
 
-    def duplicate_card(self) -> DataFrame:
-        bucket_show = [k for k in self.bucket_keys if k in ("company_id", "product_code", "bucket_name")]
+    def duplicate_card(self, tables: Sequence[str] = (V.DAILY, V.SNAPSHOT, V.USAGE, V.BUCKETS)) -> DataFrame:
+        product, source = ("company_id", "product_code"), ("company_id", "source_table")
+        bucket = [k for k in self.bucket_keys if k in ("company_id", "product_code", "bucket_name")]
         specs = {
-            V.DAILY: KeySpec(self.daily, V.DAILY_KEYS, ("company_id", "product_code"), "date_id"),
-            V.SNAPSHOT: KeySpec(self.snapshot, V.SNAPSHOT_KEYS, ("company_id", "product_code"), "date_key"),
-            V.USAGE: KeySpec(self.usage, V.USAGE_KEYS, ("company_id", "source_table"), "date_id"),
-            V.BUCKETS: KeySpec(self.buckets, self.bucket_keys, bucket_show, "date_id"),
+            V.DAILY: KeySpec(self.daily, V.DAILY_KEYS, product, "date_id"),
+            V.SNAPSHOT: KeySpec(self.snapshot, V.SNAPSHOT_KEYS, product, "date_key"),
+            V.USAGE: KeySpec(self.usage, V.USAGE_KEYS, source, "date_id"),
+            V.BUCKETS: KeySpec(self.buckets, self.bucket_keys, bucket, "date_id"),
         }
-        return duplicate_report(specs, self.as_of, V.TOP_SIZE)
+        return duplicate_report({name: specs[name] for name in tables}, self.as_of, V.TOP_SIZE)
 
     def volume_card(self, rounded: bool = False, with_duplicates: bool = True) -> DataFrame:
         duplicates = self.duplicate_card() if with_duplicates else None
@@ -187,58 +190,55 @@ class RevenueMonitor:
 
     # -- details ------------------------------------------------------------
 
-    def _detail(self, issue: str, members: Mapping[str, Column]) -> Column:
-        extra = {k: F.lit(v) for k, v in self.detail_constants.get(issue, {}).items()}
+    def _detail(self, issue: str, members: Mapping[str, str]) -> str:
+        extra = {member: text(value) for member, value in self.detail_constants.get(issue, {}).items()}
         return env.detail({**members, **extra})
 
     @staticmethod
-    def _coverage_members() -> dict[str, Column]:
+    def _coverage_members() -> dict[str, str]:
         return {
-            "total_eligible_companies": F.col("eligible"),
-            "companies_with_usage": F.col("with_usage"),
-            "coverage_pct": F.col("coverage_pct"),
-            "threshold_pct": F.lit(50),
-            "source_table": F.col("source_table"),
+            "total_eligible_companies": "eligible",
+            "companies_with_usage": "with_usage",
+            "coverage_pct": plain("coverage_pct"),
+            "threshold_pct": "50",
+            "source_table": "source_table",
         }
 
-    def _change_detail(self, report: ChangeReport) -> Column:
-        figures = {
-            shown: plain(F.col(column), 2 if column in ("change_pct", "abs_difference") else report.digits)
-            for shown, column in report.figures.items()
+    def _change_detail(self, report: ChangeReport) -> str:
+        driver = {
+            "company_id": "driver.entity",
+            "account_name": "driver.name",
+            f"delta_{report.check.measure}": plain("driver.delta", report.digits),
+            **{member: text(value) for member, value in report.driver_constants.items()},
+        }
+        members = {
+            **{shown: report.shown(column) for shown, column in report.figures.items()},
+            "date": "alert_date",
+            **{member: text(value) for member, value in report.constants.items()},
+            "top_drivers": f"transform(top_drivers, driver -> {struct(driver)})",
         }
-        drivers = F.transform(
-            F.col("top_drivers"),
-            lambda driver: F.struct(
-                driver["entity"].alias("company_id"),
-                driver["name"].alias("account_name"),
-                plain(driver["delta"], report.digits).alias(report.delta),
-                *[F.lit(text).alias(member) for member, text in report.driver_constants.items()],
-            ),
-        )
-        constants = {member: F.lit(text) for member, text in report.constants.items()}
-        members = {**figures, "date": F.col("alert_date"), **constants, "top_drivers": drivers}
         return self._detail(report.check.name, members)
 
     @staticmethod
-    def _volume_members() -> dict[str, Column]:
+    def _volume_members() -> dict[str, str]:
         return {
-            "current_record_count": F.col("current_record_count"),
-            "expected_record_count": plain(F.col("expected_record_count")),
-            "deviation_pct": plain(F.col("deviation_pct")),
-            "date": F.col("record_date"),
-            "source_table": F.col("source_table"),
+            "current_record_count": "current_record_count",
+            "expected_record_count": plain("expected_record_count"),
+            "deviation_pct": plain("deviation_pct"),
+            "date": "record_date",
+            "source_table": "source_table",
         }
 
     @staticmethod
-    def _single_members() -> dict[str, Column]:
+    def _single_members() -> dict[str, str]:
         return {
-            "current_record_count": F.col("current_record_count"),
-            "diff_record": plain(F.col("diff_record"), 6),
-            "expected_record_count": plain(F.col("expected_record_count")),
-            "deviation_pct": plain(F.col("deviation_ratio")),
-            "status": F.col("status"),
-            "date": F.col("record_date"),
-            "source_table": F.col("source_table"),
+            "current_record_count": "current_record_count",
+            "diff_record": plain("diff_record", 6),
+            "expected_record_count": plain("expected_record_count"),
+            "deviation_pct": plain("deviation_ratio"),
+            "status": "status",
+            "date": "record_date",
+            "source_table": "source_table",
         }
 
     # -- arms in the common record ------------------------------------------
@@ -246,75 +246,49 @@ class RevenueMonitor:
     def coverage_arm(self) -> DataFrame:
         members = {
             **self._coverage_members(),
-            "measure_field": F.lit(COVERAGE.value),
-            "table": F.lit(f"{V.DATABASE}.{V.USAGE}"),
-            "sample_missing_companies": F.coalesce("sample_missing", F.array()),
+            "measure_field": text(COVERAGE.value),
+            "table": text(f"{V.DATABASE}.{V.USAGE}"),
+            "sample_missing_companies": "sample_missing",
         }
         return env.envelope(
             self.coverage_card(),
-            F.lit(V.MISSING_USAGE),
-            F.col("check_name"),
-            F.col("source_table"),
-            F.col("check_date"),
-            [F.col("eligible"), F.col("with_usage"), F.col("coverage_pct")],
+            [text(V.MISSING_USAGE), "check_name", "source_table", "check_date"],
+            ["eligible", "with_usage", "coverage_pct"],
             self._detail(V.MISSING_USAGE, members),
         )
 
     def change_arm(self) -> DataFrame:
         """The three change checks; they come out of one rollup."""
-        source, payload = F.lit(None).cast("string"), F.lit(None).cast("string")
-        for name, report in CHANGES.items():
-            is_check = F.col("check_name") == name
-            source = F.when(is_check, F.lit(report.source_table)).otherwise(source)
-            payload = F.when(is_check, self._change_detail(report)).otherwise(payload)
-        by_amount = F.col("check_name") == V.GROWTH
+        sources = " ".join(f"when {text(n)} then {text(r.source_table)}" for n, r in CHANGES.items())
+        details = " ".join(f"when {text(n)} then {self._change_detail(r)}" for n, r in CHANGES.items())
+        by_amount = f"check_name = {text(V.GROWTH)}"
         return env.envelope(
             self.change_card(),
-            F.col("check_name"),
-            F.col("check_name"),
-            source,
-            F.col("alert_date"),
+            ["check_name", "check_name", f"case check_name {sources} end", "alert_date"],
             [
-                F.col("current_value"),
-                F.col("previous_value"),
-                F.when(by_amount, F.col("abs_difference").cast("double")).otherwise(F.col("change_pct")),
-                F.when(by_amount, F.col("change_pct")),
+                "current_value",
+                "previous_value",
+                f"case when {by_amount} then cast(abs_difference as double) else change_pct end",
+                f"case when {by_amount} then change_pct end",
             ],
-            payload,
+            f"case check_name {details} end",
         )
 
     def volume_arm(self) -> DataFrame:
-        members = {
-            **self._volume_members(),
-            "duplicate_key_groups": F.col("duplicate_key_groups"),
-            "extra_duplicate_rows": F.col("extra_duplicate_rows"),
-            "top_duplicate_keys": F.col("top_duplicate_keys"),
-            "likely_cause": F.col("likely_cause"),
-        }
+        diagnostics = ("duplicate_key_groups", "extra_duplicate_rows", "top_duplicate_keys", "likely_cause")
         return env.envelope(
             self.volume_card(),
-            F.lit(V.VOLUME),
-            F.concat(F.lit(f"{V.VOLUME}_"), F.lower("source_table")),
-            F.col("source_table"),
-            F.col("record_date"),
-            [F.col("current_record_count"), F.col("expected_record_count"), F.col("deviation_pct")],
-            self._detail(V.VOLUME, members),
+            [text(V.VOLUME), VOLUME_ISSUE, "source_table", "record_date"],
+            ["current_record_count", "expected_record_count", "deviation_pct"],
+            self._detail(V.VOLUME, {**self._volume_members(), **{member: member for member in diagnostics}}),
         )
 
     def single_volume_arm(self) -> DataFrame:
         members = {**self._single_members(), "likely_cause": deviation_cause(V.VOLUME_DAYS)}
         return env.envelope(
             self.single_volume_card(),
-            F.lit(V.VOLUME),
-            F.lit(V.SINGLE_TABLE_ISSUE),
-            F.col("source_table"),
-            F.col("record_date"),
-            [
-                F.col("current_record_count"),
-                F.col("expected_record_count"),
-                F.col("deviation_ratio"),
-                F.col("diff_record"),
-            ],
+            [text(V.VOLUME), text(V.SINGLE_TABLE_ISSUE), "source_table", "record_date"],
+            ["current_record_count", "expected_record_count", "deviation_ratio", "diff_record"],
             self._detail(V.SINGLE_TABLE_ISSUE, members),
         )
 
@@ -342,73 +316,75 @@ class RevenueMonitor:
     @staticmethod
     def contract(alert_rows: DataFrame) -> DataFrame:
         """Rules on the published alerts: type present and in the closed set, nothing retired."""
-        types = contract_report(alert_rows, "alert_type", V.ALERT_TYPES)
-        retired = contract_report(alert_rows, "issue_type", (), V.RETIRED_ISSUE).where("rule = 'retired_value'")
-        return types.unionByName(retired)
+        rules = [
+            not_null("alert_type"),
+            accepted_values("alert_type", V.ALERT_TYPES),
+            retired_value("issue_type", V.RETIRED_ISSUE),
+        ]
+        return contract_report(alert_rows, rules)
 
     # -- single checks for debugging ------------------------------------------
 
+    def check(self, name: str) -> DataFrame:
+        """A single check by alert type (or the single-table volume issue), breached or not."""
+        if name == V.MISSING_USAGE:
+            return self.check_coverage()
+        if name == V.VOLUME:
+            return self.check_volume()
+        if name == V.SINGLE_TABLE_ISSUE:
+            return self.check_volume_single()
+        return self.check_change(name)
+
     def check_coverage(self) -> DataFrame:
-        card = self.coverage_card()
-        return card.select(
-            F.lit(V.MISSING_USAGE).alias("alert_type"),
-            F.col("check_name").alias("issue_type"),
+        return self.coverage_card().selectExpr(
+            f"{text(V.MISSING_USAGE)} as alert_type",
+            "check_name as issue_type",
             "source_table",
-            F.col("check_date").alias("alert_date"),
-            F.col("eligible").alias("total_eligible_companies"),
-            F.col("with_usage").alias("companies_with_usage"),
+            "check_date as alert_date",
+            "eligible as total_eligible_companies",
+            "with_usage as companies_with_usage",
             "coverage_pct",
             "status",
-            env.detail(self._coverage_members()).alias("detail"),
+            f"{env.detail(self._coverage_members())} as detail",
         )
 
     def check_change(self, name: str) -> DataFrame:
         """One change check under its own column names; tests the figure as shown."""
         report = CHANGES[name]
-        return self.change_card([name], rounded=True).select(
-            F.lit(name).alias("alert_type"),
-            F.lit(name).alias("issue_type"),
-            F.lit(report.source_table).alias("source_table"),
+        return self.change_card([name], rounded=True).selectExpr(
+            f"{text(name)} as alert_type",
+            f"{text(name)} as issue_type",
+            f"{text(report.source_table)} as source_table",
             "alert_date",
-            *[F.col(column).alias(shown) for shown, column in report.columns.items()],
+            *[f"{report.shown(column)} as {shown}" for shown, column in report.columns.items()],
             "status",
-            self._change_detail(report).alias("detail"),
+            f"{self._change_detail(report)} as detail",
         )
 
     def check_volume(self) -> DataFrame:
         """Volume per table without diagnostics; tests the figure as shown."""
-        return self.volume_card(rounded=True, with_duplicates=False).select(
-            F.lit(V.VOLUME).alias("alert_type"),
-            F.concat(F.lit(f"{V.VOLUME}_"), F.lower("source_table")).alias("issue_type"),
+        return self.volume_card(rounded=True, with_duplicates=False).selectExpr(
+            f"{text(V.VOLUME)} as alert_type",
+            f"{VOLUME_ISSUE} as issue_type",
             "source_table",
-            F.col("record_date").alias("alert_date"),
+            "record_date as alert_date",
             "current_record_count",
-            F.round("expected_record_count", 2).alias("expected_record_count"),
+            "round(expected_record_count, 2) as expected_record_count",
             "deviation_pct",
             "status",
-            env.detail(self._volume_members()).alias("detail"),
+            f"{env.detail(self._volume_members())} as detail",
         )
 
     def check_volume_single(self) -> DataFrame:
-        return self.single_volume_card().select(
-            F.lit(V.VOLUME).alias("alert_type"),
-            F.lit(V.SINGLE_TABLE_ISSUE).alias("issue_type"),
+        return self.single_volume_card().selectExpr(
+            f"{text(V.VOLUME)} as alert_type",
+            f"{text(V.SINGLE_TABLE_ISSUE)} as issue_type",
             "source_table",
-            F.col("record_date").alias("alert_date"),
+            "record_date as alert_date",
             "current_record_count",
             "diff_record",
             "expected_record_count",
-            F.col("deviation_ratio").alias("deviation_pct"),
+            "deviation_ratio as deviation_pct",
             "status",
-            env.detail(self._single_members()).alias("detail"),
+            f"{env.detail(self._single_members())} as detail",
         )
-
-    def check(self, name: str) -> DataFrame:
-        """A single check by alert type (or the single-table volume issue), breached or not."""
-        if name == V.MISSING_USAGE:
-            return self.check_coverage()
-        if name == V.VOLUME:
-            return self.check_volume()
-        if name == V.SINGLE_TABLE_ISSUE:
-            return self.check_volume_single()
-        return self.check_change(name)
