@@ -37,14 +37,15 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return aggregate(df.groupBy(*keys), "count(1) as row_count").where("row_count > 1")
 
 
+STATS = ("count(1) as duplicate_key_groups", "coalesce(sum(row_count - 1), 0) as extra_duplicate_rows")
+
+
 def duplicate_stats(groups: DataFrame) -> DataFrame:
     """One row: number of duplicated keys and rows beyond the first of each (0, 0 if none)."""
-    return aggregate(
-        groups, "count(1) as duplicate_key_groups", "coalesce(sum(row_count - 1), 0) as extra_duplicate_rows"
-    )
+    return aggregate(groups, *STATS)
 
 
-def _worst(groups: DataFrame, keys: Sequence[str], item: str, n: int) -> DataFrame:
+def _worst(groups: DataFrame, keys: Sequence[str], item: str, n: int, *constants: str) -> DataFrame:
     """One row: the ``n`` most repeated keys as an ordered array.
 
     The limit is a bounded heap per task and one merge; the array is built from
@@ -54,7 +55,7 @@ def _worst(groups: DataFrame, keys: Sequence[str], item: str, n: int) -> DataFra
     best = groups.orderBy(F.expr("row_count").desc(), *[F.expr(name(k)).asc_nulls_last() for k in keys]).limit(n)
     position = ", ".join(f"{name(k)} is null as null_{i}, {name(k)} as key_{i}" for i, k in enumerate(keys))
     packed = f"sort_array(collect_list(struct(-row_count as by_count, {position}, {item} as item)))"
-    return aggregate(best, f"transform({packed}, entry -> entry.item) as top_duplicate_keys")
+    return aggregate(best, *constants, f"transform({packed}, entry -> entry.item) as top_duplicate_keys")
 
 
 def top_duplicates(groups: DataFrame, keys: Sequence[str], show: Sequence[str], n: int = 5) -> DataFrame:
@@ -88,8 +89,7 @@ def duplicate_report(
             | {"row_count": "row_count", "field": text(spec.field)}
         )
         label = f"{text(table)} as source_table"
-        parts.append(duplicate_stats(groups).selectExpr(label, "duplicate_key_groups", "extra_duplicate_rows"))
-        parts.append(_worst(groups, spec.keys, element, n).selectExpr(label, "top_duplicate_keys"))
+        parts += [aggregate(groups, label, *STATS), _worst(groups, spec.keys, element, n, label)]
     # Each part is one row; regrouping by table name brings the two halves together.
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return aggregate(

@@ -15,7 +15,7 @@ from string import Formatter
 
 from pyspark.sql import DataFrame
 
-from weirgauge.functions.expr import aggregate, as_date, name, text
+from weirgauge.functions.expr import aggregate, as_date, name, struct, text
 from weirgauge.operators.envelope import KEYS
 
 MISSING = "n/a"
@@ -76,47 +76,55 @@ def _members(template: str) -> dict[str, str]:
     return found
 
 
-def _detail_schema(template: MessageTemplate) -> str:
-    fields = [f"{name(m)} {kind}" for m, kind in _members(template.text).items()]
-    for member, line in template.items.items():
-        inner = ", ".join(f"{name(m)}: {kind}" for m, kind in _members(line).items())
-        fields.append(f"{name(member)} array<struct<{inner}>>")
+def _detail_schema(templates: Mapping[str, MessageTemplate]) -> str:
+    """One schema with every member any template asks for."""
+    scalars: dict[str, str] = {}
+    lists: dict[str, dict[str, str]] = {}
+    for template in templates.values():
+        scalars.update(_members(template.text))
+        for member, line in template.items.items():
+            lists.setdefault(member, {}).update(_members(line))
+    fields = [f"{name(m)} {kind}" for m, kind in scalars.items()]
+    for member, inner in lists.items():
+        fields.append(f"{name(member)} array<struct<{', '.join(f'{name(m)}: {kind}' for m, kind in inner.items())}>>")
     return ", ".join(fields)
 
 
 def render(alert_rows: DataFrame, templates: Mapping[str, MessageTemplate]) -> DataFrame:
     """One message per alert: ``alert_type, issue_type, message``.
 
-    A template is looked up by issue type first, then by alert type.
+    A template is looked up by issue type first, then by alert type. Numbers
+    are read from the detail as exact decimals.
     """
-    chosen = " ".join(f"when issue_type = {text(k)} then {text(k)}" for k in templates)
-    keyed = alert_rows.selectExpr(*KEYS, "detail", f"case {chosen} else alert_type end as template")
-    # Every template reads the detail with its own schema; numbers stay exact.
-    parsed = keyed.selectExpr(
-        "*", *[f"from_json(detail, {text(_detail_schema(t))}) as detail_{i}" for i, t in enumerate(templates.values())]
-    )
-    arms = " ".join(
-        f"when {text(k)} then {_fill(t.text, t.items, f'detail_{i}')}" for i, (k, t) in enumerate(templates.items())
-    )
-    return parsed.selectExpr("alert_type", "issue_type", f"case template {arms} end as message")
+    parsed = alert_rows.selectExpr(*KEYS, f"from_json(detail, {text(_detail_schema(templates))}) as d")
+    filled = {k: _fill(t.text, t.items, "d") for k, t in templates.items()}
+    arms = [f"when {column} = {text(k)} then {m}" for column in ("issue_type", "alert_type") for k, m in filled.items()]
+    return parsed.selectExpr("alert_type", "issue_type", f"case {' '.join(arms)} end as message")
+
+
+def _all_clear_row(as_of: dt.date | str, message: str) -> dict[str, str]:
+    done = text("all_clear")
+    return {"alert_type": done, "issue_type": done, "message": text(message.format(date=as_date(as_of)))}
 
 
 def all_clear(alert_rows: DataFrame, as_of: dt.date | str, message: str) -> DataFrame:
     """One row if there are no alerts, none otherwise. Looks at a single alert at most."""
     seen = aggregate(alert_rows.limit(1), "count(1) as n")
-    return seen.where("n = 0").selectExpr(
-        "'all_clear' as alert_type",
-        "'all_clear' as issue_type",
-        f"{text(message.format(date=as_date(as_of)))} as message",
-    )
+    row = _all_clear_row(as_of, message)
+    return seen.where("n = 0").selectExpr(*[f"{value} as {column}" for column, value in row.items()])
 
 
 def messages(
     alert_rows: DataFrame, templates: Mapping[str, MessageTemplate], as_of: dt.date | str, clear_text: str
 ) -> DataFrame:
-    """What a run has to say: a message per alert in report order, or the single all-clear."""
-    return (
-        render(alert_rows, templates)
-        .unionByName(all_clear(alert_rows, as_of, clear_text))
-        .orderBy("alert_type", "issue_type")
+    """What one run has to say: a message per alert in report order, or the single all-clear.
+
+    The alerts of a run number at most one per configured check, so they are
+    gathered into one ordered array; the checks are evaluated once whether the
+    answer is a list of alerts or the all-clear.
+    """
+    listed = "sort_array(collect_list(struct(alert_type, issue_type, message)))"
+    clear = struct(_all_clear_row(as_of, clear_text))
+    return aggregate(render(alert_rows, templates), f"{listed} as run").selectExpr(
+        f"inline(if(size(run) = 0, array({clear}), run))"
     )
