@@ -27,4 +27,4 @@ def test_query_matches_duckdb(spark, con, name):
 
 
 def test_entry(spark):
-    assert entry_module.entry(spark).count() == 10
+    assert entry_module.entry(spark).count() == 11

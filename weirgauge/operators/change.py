@@ -215,13 +215,18 @@ def _winners(deltas: DataFrame, n: int) -> DataFrame:
     """Rank 1..n by size of the delta per check; ties go to the smaller entity.
 
     The rank limit is applied in every task before rows are exchanged by check,
-    so at most n rows per check and task move.
+    so at most n rows per check and task move. Sorting looks at the size as a
+    double first, which is cheap to compare and never contradicts the exact
+    decimal that follows it.
     """
-    order = "abs(delta) desc, entity asc nulls last, null_side"
+    order = "size desc, abs(delta) desc, entity asc nulls last, null_side"
     return (
-        deltas.selectExpr("*", f"row_number() over (partition by check_name order by {order}) as rank")
+        deltas.selectExpr(
+            "check_name", "check_no", "entity", "null_side", "delta", "abs(cast(delta as double)) as size"
+        )
+        .selectExpr("*", f"row_number() over (partition by check_no order by {order}) as rank")
         .where(f"rank <= {int(n)}")
-        .select("check_name", "check_no", "rank", "entity", "null_side", "delta")
+        .drop("size")
     )
 
 
@@ -235,26 +240,32 @@ def _named(
 ) -> DataFrame:
     """Attach the largest name of the current side, else of the previous one.
 
-    The winners (at most n per check) are the broadcast side of a second, narrow
-    scan. Names are reduced to distinct ones before the exchange, so a winner
+    The winning entities (at most n per check) are the broadcast side of a
+    second, narrow scan, each with the list of its wins so that a row matches
+    once. Matches are reduced to distinct names before the exchange, so a winner
     owning many rows stays cheap. Every winner has a row on some side, hence an
     inner join keeps them all.
     """
     sides = _sides(checks)
-    hit = "array(" + ", ".join(f"hit_{i}" for i in range(len(checks))) + ")"
-    current = "array(" + ", ".join(str(sides.index(c.current)) for c in checks) + ")"
-    rows = _side_rows(tables, checks, as_of, {"row_key": key, "label": label}, values=False).selectExpr(
-        "row_key", "label", "side", "case when row_key is null then side end as row_null_side", f"{hit} as hits"
+    entities = aggregate(
+        winners.groupBy("entity", "null_side"), "collect_list(struct(check_name, check_no, rank, delta)) as wins"
     )
-    fixed = ("check_name", "rank", "entity", "delta")
-    distinct_labels = (
-        rows.join(F.broadcast(winners), F.expr("row_key <=> entity and row_null_side <=> null_side"), "inner")
-        .where("hits[check_no]")
-        .selectExpr(*fixed, f"side = {current}[check_no] as is_current", "label")
+    hits = [f"hit_{i}" for i in range(len(checks))]
+    rows = _side_rows(tables, checks, as_of, {"row_key": key, "label": label}, values=False)
+    same = "row_key <=> entity and case when row_key is null then side end <=> null_side"
+    distinct_names = (
+        rows.join(F.broadcast(entities), F.expr(same), "inner")
+        .select("entity", "wins", "side", *hits, "label")
         .distinct()
     )
+    current = "array(" + ", ".join(str(sides.index(c.current)) for c in checks) + ")"
+    per_win = (
+        distinct_names.selectExpr("entity", "side", "label", f"array({', '.join(hits)}) as hits", "inline(wins)")
+        .where("hits[check_no]")
+        .selectExpr("check_name", "rank", "entity", "delta", "label", f"side = {current}[check_no] as is_current")
+    )
     return aggregate(
-        distinct_labels.groupBy(*fixed),
+        per_win.groupBy("check_name", "rank", "entity", "delta"),
         "coalesce(max(label) filter (where is_current), max(label) filter (where not is_current)) as name",
     )
 
