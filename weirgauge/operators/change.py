@@ -143,41 +143,35 @@ def entity_rollup(
             expression
             for i in range(len(checks))
             for expression in (
-                f"cast(sum(cur_{i}) as {EXACT}) as cur_{i}",
-                f"cast(sum(prev_{i}) as {EXACT}) as prev_{i}",
+                f"sum(cur_{i}) as cur_{i}",
+                f"sum(prev_{i}) as prev_{i}",
                 f"max(hit_{i}) as hit_{i}",
             )
         ],
     )
 
 
+def _by_entity(rollup: DataFrame, checks: Sequence[ChangeCheck], figures: Mapping[str, str]) -> DataFrame:
+    """One row per check and entity present on either side, with figures computed in the measure's own type."""
+    rows = [
+        {
+            "check_name": text(check.name),
+            "check_no": str(i),
+            "hit": f"hit_{i}",
+            **{column: f"cast({figure.format(i=i)} as {EXACT})" for column, figure in figures.items()},
+        }
+        for i, check in enumerate(checks)
+    ]
+    return rollup.selectExpr("entity", "null_side", inline(rows)).where("hit").drop("hit")
+
+
+DELTA = {"delta": "coalesce(cur_{i}, 0) - coalesce(prev_{i}, 0)"}
+
+
 def entity_deltas(rollup: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame:
-    """Long form of the rollup: one row per check and entity present on either side."""
-    per_check = inline(
-        [
-            {
-                "check_name": text(check.name),
-                "check_no": str(i),
-                "current_value": f"cur_{i}",
-                "previous_value": f"prev_{i}",
-                "hit": f"hit_{i}",
-            }
-            for i, check in enumerate(checks)
-        ]
-    )
-    return (
-        rollup.selectExpr("entity", "null_side", per_check)
-        .where("hit")
-        .selectExpr(
-            "check_name",
-            "check_no",
-            "entity",
-            "null_side",
-            "current_value",
-            "previous_value",
-            "coalesce(current_value, 0) - coalesce(previous_value, 0) as delta",
-        )
-    )
+    """Both values and the signed delta of every entity of every check; a missing side counts as 0."""
+    figures = {"current_value": "cur_{i}", "previous_value": "prev_{i}", **DELTA}
+    return _by_entity(rollup, checks, figures)
 
 
 def _per_check(one_row: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame:
@@ -211,7 +205,7 @@ def side_totals(
     return _per_check(aggregate(rows, *sums), checks)
 
 
-def _winners(deltas: DataFrame, n: int) -> DataFrame:
+def _winners(rollup: DataFrame, checks: Sequence[ChangeCheck], n: int) -> DataFrame:
     """Rank 1..n by size of the delta per check; ties go to the smaller entity.
 
     The rank limit is applied in every task before rows are exchanged by check,
@@ -221,9 +215,8 @@ def _winners(deltas: DataFrame, n: int) -> DataFrame:
     """
     order = "size desc, abs(delta) desc, entity asc nulls last, null_side"
     return (
-        deltas.selectExpr(
-            "check_name", "check_no", "entity", "null_side", "delta", "abs(cast(delta as double)) as size"
-        )
+        _by_entity(rollup, checks, DELTA)
+        .selectExpr("*", "abs(cast(delta as double)) as size")
         .selectExpr("*", f"row_number() over (partition by check_no order by {order}) as rank")
         .where(f"rank <= {int(n)}")
         .drop("size")
@@ -283,7 +276,7 @@ def top_drivers(
 
 
 def _drivers(rollup, tables, checks, as_of, key, label, n) -> DataFrame:
-    winners = _winners(entity_deltas(rollup, checks), n)
+    winners = _winners(rollup, checks, n)
     if label is None:
         return winners.selectExpr("check_name", "rank", "entity", "cast(null as string) as name", "delta")
     named = _named(winners, tables, checks, as_of, key, label)
