@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weirgauge.llm import warc
+from weirgauge.llm import bpe, warc
 from weirgauge.llm.common import table
 
 
@@ -15,6 +16,15 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+#: Where the rank file is and what splits texts before the merges; on a cluster, a path that the driver can open.
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.ByteBpe(spark, RANKS, public_tokenizers.PATTERN).round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op3_bpe": op3_bpe,
 }
