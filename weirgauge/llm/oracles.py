@@ -22,6 +22,17 @@ select page_id, n::bigint as payload_bytes, digest as payload_digest,
 from f
 """
 
+OP6 = """
+with t as (
+  select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as h
+  from documents
+)
+select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
+  doc_id = max(doc_id) over w as kept, h as text_sha256
+from t window w as (partition by h)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_warc": OP1,
+    "op6_exact_dedup": OP6,
 }
