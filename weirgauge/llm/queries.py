@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weirgauge.llm import bpe, exact_dedup, warc
+from weirgauge.llm import bpe, exact_dedup, mixing, warc
 from weirgauge.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.ByteBpe(spark, RANKS, public_tokenizers.PATTERN).round_trip(table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.draws(table(spark, sf_dir, "documents")))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
@@ -31,5 +35,6 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_bpe": op3_bpe,
+    "op4_mixing": op4_mixing,
     "op6_exact_dedup": op6_exact_dedup,
 }
