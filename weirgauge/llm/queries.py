@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weirgauge.llm import bpe, exact_dedup, mixing, warc
+from weirgauge.llm import bpe, exact_dedup, langid, mixing, quality, warc
 from weirgauge.llm.common import table
 
 
@@ -28,13 +28,23 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.draws(table(spark, sf_dir, "documents")))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_bpe": op3_bpe,
     "op4_mixing": op4_mixing,
+    "op5_quality": op5_quality,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_langid": op8_langid,
 }
