@@ -32,7 +32,29 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
 from t window w as (partition by h)
 """
 
+OP7 = r"""
+with d as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents
+), e as (
+  select doc_id, w, unnest(range(1, len(w) - 11)) as i from d
+), g as (
+  select doc_id, i, array_to_string(w[i:i + 12], ' ') as s from e
+), f as (
+  select doc_id, i, doc_id > min(doc_id) over (partition by s) as gone from g
+), r as (
+  select doc_id, list(distinct j) as gone
+  from (select doc_id, unnest(range(i, i + 13)) as j from f where gone) group by doc_id
+), k as (
+  select d.doc_id, len(w)::bigint as n_words, coalesce(len(r.gone), 0)::bigint as n_removed,
+    list_transform(list_filter(range(1, len(w) + 1), lambda j: not list_contains(coalesce(r.gone, []), j)), lambda j: w[j]) as kept
+  from d left join r using (doc_id)
+)
+select doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) as kept_sha256 from k
+"""
+
 ORACLES: dict[str, str] = {
     "op1_warc": OP1,
     "op6_exact_dedup": OP6,
+    "op7_substring_dedup": OP7,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weirgauge.llm import bpe, exact_dedup, langid, mixing, quality, warc
+from weirgauge.llm import bpe, exact_dedup, langid, mixing, quality, substring_dedup, warc
 from weirgauge.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(table(spark, sf_dir, "documents"))
 
@@ -46,5 +50,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_langid": op8_langid,
 }
