@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weirgauge.llm import bpe, exact_dedup, langid, mixing, quality, substring_dedup, warc
+from weirgauge.llm import bpe, exact_dedup, jaccard_join, langid, mixing, quality, substring_dedup, warc
 from weirgauge.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.clustered(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_bpe": op3_bpe,
@@ -52,4 +56,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_langid": op8_langid,
+    "op9_jaccard_join": op9_jaccard_join,
 }
