@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weirgauge.llm import bpe, exact_dedup, jaccard_join, langid, mixing, quality, substring_dedup, warc
+from weirgauge.llm import ann, bpe, exact_dedup, jaccard_join, langid, mixing, quality, substring_dedup, warc
 from weirgauge.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 #: Where the rank file is and what splits texts before the merges; on a cluster, a path that the driver can open.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -50,6 +54,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_ann": op2_ann,
     "op3_bpe": op3_bpe,
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
