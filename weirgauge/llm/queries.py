@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weirgauge.llm import ann, bpe, exact_dedup, jaccard_join, langid, mixing, quality, substring_dedup, warc
+from weirgauge.llm import ann, bpe, exact_dedup, jaccard_join, langid, licences, mixing, quality, substring_dedup, warc
 from weirgauge.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.clustered(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scanned(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_ann": op2_ann,
@@ -62,4 +66,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_langid": op8_langid,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_licences": op10_licences,
 }
