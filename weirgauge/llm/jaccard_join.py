@@ -35,7 +35,7 @@ from weirgauge.llm.packed import bucket_of, pack, unpack
 from weirgauge.llm.wordhash import Words, inside, mix, windows
 
 WIDTH, PERCENT = 5, 80
-SKETCH_BITS = 21
+SKETCH_BITS = 22
 SEGMENTS = 64
 #: Shingles that a task handles at once, and about as many index entries in an owner's hash range.
 CHUNK = 1 << 20
@@ -143,8 +143,44 @@ def _flush(held: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ROW, strict=True)], schema=_ROW)
 
 
-def _lists(table: pa.Table) -> pa.Table:
-    """Index entries of one hash range whose shingle is in several sets."""
+def _partnered(bounds: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
+    """Mask of the list entries that sizes and positions allow to link with another entry of their list.
+
+    Entries i and j may link if need[j] <= reach[i] and need[i] <= reach[j]; in order of need, the largest reach so far
+    (and the next largest, for an entry's own) tells for each entry whether there is such another one.
+    """
+    keep = np.zeros(len(n), bool)
+    need, reach = percent * n, (100 + percent) * (n - pos) - percent * n
+    counts = np.diff(bounds)
+    for m in np.unique(counts[counts <= 64]):  # short lists: all of one length at once
+        starts, step = bounds[:-1][counts == m], max(1, (1 << 20) // int(m * m))
+        for i in range(0, len(starts), step):
+            at = starts[i : i + step, None] + np.arange(m)
+            met = need[at][:, None] <= reach[at][:, :, None]
+            met &= met.transpose(0, 2, 1)
+            met[:, np.arange(m), np.arange(m)] = False
+            keep[at] = met.any(axis=2)
+    for a, b in zip(bounds[:-1][counts > 64].tolist(), bounds[1:][counts > 64].tolist(), strict=True):
+        order = a + np.argsort(need[a:b], kind="stable")
+        first = second = -1
+        best, where, other = [], [], []
+        for i, r in zip(order.tolist(), reach[order].tolist(), strict=True):
+            if first < 0 or r > best[-1]:
+                second, first = first, i
+            elif second < 0 or r > reach[second]:
+                second = i
+            best.append(int(reach[first]))
+            where.append(first)
+            other.append(int(reach[second]) if second >= 0 else -1)
+        upto = np.searchsorted(need[order], reach[a:b], side="right") - 1
+        at = np.maximum(upto, 0)
+        most = np.where(np.array(where)[at] == np.arange(a, b), np.array(other)[at], np.array(best)[at])
+        keep[a:b] = (upto >= 0) & (most >= need[a:b])
+    return keep
+
+
+def _lists(table: pa.Table, percent: int) -> pa.Table:
+    """Index entries of one hash range whose shingle is in several sets that may link."""
     parts = []
     for data in table.column("data"):
         gaps, place, pos, sets, n = unpack(data.as_buffer())
@@ -164,8 +200,7 @@ def _lists(table: pa.Table) -> pa.Table:
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (names[1:] != names[:-1])
     hashes, names, n, pos = hashes[fresh], names[fresh], n[fresh], pos[fresh]
     head = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
-    count = np.diff(np.append(head, len(hashes)))
-    keep = np.repeat(count > 1, count)
+    keep = _partnered(np.append(head, len(hashes)), n.astype(np.int64), pos.astype(np.int64), percent)
     return pa.Table.from_arrays([pa.array(c) for c in (hashes[keep].view(np.int64), names[keep], n[keep], pos[keep])], schema=_LIST)
 
 
@@ -235,7 +270,10 @@ def inverted_lists(docs: DataFrame, order: Broadcast, width: int = WIDTH, percen
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _index(batches, order.value, width, percent, buckets)
 
-    return docs.select("text").mapInArrow(index, "bucket int, data binary").groupBy("bucket").applyInArrow(_lists, "token long, set long, n int, pos int")
+    def own(table: pa.Table) -> pa.Table:
+        return _lists(table, percent)
+
+    return docs.select("text").mapInArrow(index, "bucket int, data binary").groupBy("bucket").applyInArrow(own, "token long, set long, n int, pos int")
 
 
 def links(docs: DataFrame, named: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
