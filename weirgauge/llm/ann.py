@@ -132,17 +132,18 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _best(table: pa.Table, other: pa.Table, k: int) -> pa.Table:
-    """The k best vectors of one block for each query of another: by inner product, then by smallest id."""
+    """The k best vectors of one block for each query of another: by inner product, then by smallest id; none below
+    the query's floor, which its k best reach."""
     ids, firsts, x = (table.column(c) for c in ("uid", "first", "v"))
     ids, firsts, x = ids.to_numpy(), firsts.to_numpy(), _matrix(x)
-    queries, q = other.column("uid").to_numpy(), _matrix(other.column("v"))
+    queries, q, floors = other.column("uid").to_numpy(), _matrix(other.column("v")), other.column("floor").to_numpy()
     if not len(ids) or not len(queries):
         return pa.table({"query": pa.array([], pa.int64()), "uid": pa.array([], pa.int64()), "first": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
     n, out = min(k, len(ids)), []
     for a in range(0, len(queries), 512):
         part = q[a : a + 512]
         rough = part @ x.T
-        cut = np.partition(rough, len(ids) - n, axis=1)[:, len(ids) - n]
+        cut = np.maximum(np.partition(rough, len(ids) - n, axis=1)[:, len(ids) - n], floors[a : a + 512])
         # what ties with the last one, up to rounding, is scored exactly as well
         row, col = np.nonzero(rough >= (cut - 1e-9 * (1 + np.abs(cut)))[:, None])
         score = (part[row] * x[col]).sum(axis=1)
@@ -167,12 +168,13 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, key: str = "vec_id",
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = different.orderBy(F.xxhash64("v"), "first").limit(SAMPLE).select("v").toArrow()
-    lists = learn(_matrix(sample.column("v")), float(longest), max(1, min(MOST_LISTS, n // LIST_SIZE)))
-    shared = spark.sparkContext.broadcast(lists)
+    known_vectors = _matrix(sample.column("v"))
+    lists = learn(known_vectors, float(longest), max(1, min(MOST_LISTS, n // LIST_SIZE)))
+    shared = spark.sparkContext.broadcast((lists, known_vectors))
     reach = max(LEAST, int(REACH * len(lists.centroids)))
 
     def place(batches: Iterator[pa.RecordBatch], asking: bool) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known, sample = shared.value
         for batch in batches:
             if not len(batch):
                 continue
@@ -181,10 +183,15 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, key: str = "vec_id",
             keep = (near >= 0) & (far <= far[:, :1] * (RATIO if asking else CLOSURE))
             if asking:
                 keep[:, :LEAST] |= near[:, :LEAST] >= 0
+            floor = np.full(len(x), -np.inf)
+            if asking and len(sample) > k:  # k + 1 vectors of the sample reach this, so the answers do
+                for a in range(0, len(x), 256):
+                    floor[a : a + 256] = np.partition(x[a : a + 256] @ sample.T, len(sample) - k - 1, axis=1)[:, len(sample) - k - 1]
             row, at = np.nonzero(keep)
-            yield pa.RecordBatch.from_arrays([pa.array(near[row, at].astype(np.int32)), *(batch.column(c).take(pa.array(row)) for c in ("uid", "first", "v"))], ["list", "uid", "first", "v"])
+            columns = [batch.column(c).take(pa.array(row)) for c in ("uid", "first", "v")]
+            yield pa.RecordBatch.from_arrays([pa.array(near[row, at].astype(np.int32)), *columns, pa.array(floor[row])], ["list", "uid", "first", "v", "floor"])
 
-    schema = "list int, uid long, first long, v array<double>"
+    schema = "list int, uid long, first long, v array<double>, floor double"
     entries = stored(different.select("uid", "first", "v").mapInArrow(lambda b: place(b, False), schema), "posting-lists")
     asked = stored(different.where("asked").select("uid", "first", "v").mapInArrow(lambda b: place(b, True), schema), "list-queries")
     # blocks of long lists and of many queries: every block of one meets every block of the other; at most MOST_LISTS rows
@@ -195,7 +202,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, key: str = "vec_id",
     def blocks(rows: DataFrame, own: str, other: str, name: str, across: str) -> DataFrame:
         met = rows.join(F.broadcast(sizes), "list")
         met = met.withColumn(name, F.pmod(F.xxhash64("uid"), F.col(own)).cast("int"))
-        return met.withColumn(across, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).select("list", "part", "turn", "uid", "first", "v")
+        return met.withColumn(across, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).select("list", "part", "turn", "uid", "first", "v", "floor")
 
     def best(one: pa.Table, two: pa.Table) -> pa.Table:
         return _best(one, two, k + 1)
@@ -212,7 +219,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, key: str = "vec_id",
     named = named.withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= k + 1)
     answers = named.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("r", "vec_id", "score"))).alias("answers"))
     # from vectors back to rows: the rows of one vector share its answers, each without itself
-    per_vector = different.where("asked").join(answers, F.col("uid") == F.col("query")).select("v", "answers", "size")
+    per_vector = stored(different.where("asked").join(answers, F.col("uid") == F.col("query")).select("v", "answers", "size"), "answers")
     queries = lookup(rows.where(F.col("id") % every == 0), per_vector, ["v"], "size", ["id"])
     own = F.expr("slice(filter(answers, a -> a.vec_id <> id), 1, " + str(k) + ")")
     out = queries.select(F.col("id").alias("query_id"), F.posexplode(own).alias("rank", "a"))
