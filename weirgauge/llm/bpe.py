@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from weirgauge.llm.common import pieces
 
 #: Distinct pieces whose encoding a task remembers before it starts anew; bounds its memory, not its results.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 600_000
 #: A single space between two non-spaces begins a new match, whatever surrounds it.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _UNSAFE = re.compile(r" \s|\s ")
