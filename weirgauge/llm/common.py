@@ -33,7 +33,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read back: evaluated once, and safe from lost executors."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
