@@ -30,7 +30,7 @@ from weirgauge.llm.wordhash import Words, inside, windows
 
 WIDTH = 13
 #: Windows that a task compares among themselves before it passes them on, and about as many in an owner's range.
-CHUNK_WINDOWS = 2 << 20
+CHUNK_WINDOWS = 1 << 20
 NULL_ID = 2**63 - 1
 
 _ROW = pa.schema([("bucket", pa.int32()), ("shard", pa.int32()), ("data", pa.binary())])
