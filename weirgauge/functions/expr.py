@@ -14,12 +14,13 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ALERT = "ALERT"
 OK = "OK"
 
-#: Exact carrier for totals and deltas; sums in it do not depend on row order.
-EXACT = "decimal(38,6)"
+#: Digits after the point that totals of whole and decimal measures carry at least.
+LEAST_SCALE = 6
 
 
 def as_date(value: dt.date | str) -> dt.date:
@@ -79,6 +80,15 @@ def ratio(part: str, whole: str) -> str:
     return f"(cast({part} as double) / nullif(cast({whole} as double), 0d))"
 
 
+def carrier(frame: DataFrame, columns: Sequence[str]) -> str:
+    """One type for sums of several measures: exact for decimals and integers, with all their digits after the point;
+    double as soon as one measure is a floating-point number, which keeps very large, infinite and NaN totals."""
+    kinds = [frame.schema[c].dataType for c in columns if c in frame.columns]
+    if any(isinstance(k, (T.DoubleType, T.FloatType)) for k in kinds):
+        return "double"
+    return f"decimal(38,{max([LEAST_SCALE, *(k.scale for k in kinds if isinstance(k, T.DecimalType))])})"
+
+
 def percent(part: str, whole: str, digits: int = 2) -> str:
     """``part / whole`` in percent, rounded once."""
     return f"round({ratio(part, whole)} * 100, {digits})"

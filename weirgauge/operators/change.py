@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgauge.functions.expr import (
-    EXACT,
     aggregate,
     all_of,
     any_of,
+    carrier,
     day,
     exceeds_amount,
     exceeds_ratio,
@@ -151,14 +151,19 @@ def entity_rollup(
     )
 
 
+def _carrier(frame: DataFrame, checks: Sequence[ChangeCheck]) -> str:
+    return carrier(frame, [f"{side}_{i}" for i in range(len(checks)) for side in ("cur", "prev")])
+
+
 def _by_entity(rollup: DataFrame, checks: Sequence[ChangeCheck], figures: Mapping[str, str]) -> DataFrame:
     """One row per check and entity present on either side, with figures computed in the measure's own type."""
+    exact = _carrier(rollup, checks)
     rows = [
         {
             "check_name": text(check.name),
             "check_no": str(i),
             "hit": f"hit_{i}",
-            **{column: f"cast({figure.format(i=i)} as {EXACT})" for column, figure in figures.items()},
+            **{column: f"cast({figure.format(i=i)} as {exact})" for column, figure in figures.items()},
         }
         for i, check in enumerate(checks)
     ]
@@ -188,8 +193,9 @@ def _totals(rollup: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame:
     The presence flag is part of the sum so that this branch needs the same
     columns of the rollup as the drivers do and both read one exchange.
     """
+    exact = _carrier(rollup, checks)
     sums = [
-        f"cast(sum({side}_{i}) filter (where hit_{i}) as {EXACT}) as {side}_{i}"
+        f"cast(sum({side}_{i}) filter (where hit_{i}) as {exact}) as {side}_{i}"
         for i in range(len(checks))
         for side in ("cur", "prev")
     ]
@@ -201,7 +207,8 @@ def side_totals(
 ) -> DataFrame:
     """Totals of both sides per check without the entity rollup: one scan per table, one row per task."""
     rows = _side_rows(tables, checks, as_of, {}, values=True)
-    sums = [f"cast(sum({side}_{i}) as {EXACT}) as {side}_{i}" for i in range(len(checks)) for side in ("cur", "prev")]
+    exact = _carrier(rows, checks)
+    sums = [f"cast(sum({side}_{i}) as {exact}) as {side}_{i}" for i in range(len(checks)) for side in ("cur", "prev")]
     return _per_check(aggregate(rows, *sums), checks)
 
 
@@ -284,14 +291,16 @@ def _drivers(rollup, tables, checks, as_of, key, label, n) -> DataFrame:
 
 
 def label_drivers(drivers: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
-    """Fill ``name`` from a dimension table of any size.
+    """Fill ``name`` from a dimension table of any size: the largest name of each entity, however many rows it has.
 
-    The drivers (n per check) are broadcast to reduce the dimension to the few
-    rows needed; the dimension itself is neither broadcast nor shuffled whole.
+    The drivers are the small side of one join, which tells for every row of the
+    dimension the ranks it names; names are combined per rank within tasks before
+    they move. A driver without a row in the dimension keeps a NULL name.
     """
-    wanted = F.broadcast(drivers.selectExpr(f"entity as {name(key)}"))
-    few = labels.join(wanted, key, "left_semi").selectExpr(f"{name(key)} as entity", f"{name(label)} as name")
-    return drivers.drop("name").join(few, "entity", "left").select(*drivers.columns)
+    kept = [c for c in drivers.columns if c != "name"]
+    dimension = labels.selectExpr(f"{name(key)} as label_key", f"{name(label)} as label_name").where("label_key is not null")
+    named = dimension.join(drivers.drop("name"), F.expr("label_key = entity"), "right")
+    return aggregate(named.groupBy(*kept), "max(label_name) as name").select(*drivers.columns)
 
 
 def change_scorecard(

@@ -15,11 +15,13 @@ from string import Formatter
 
 from pyspark.sql import DataFrame
 
-from weirgauge.functions.expr import aggregate, as_date, name, struct, text
+from weirgauge.functions.expr import aggregate, as_date, name, text
 from weirgauge.operators.envelope import KEYS
 
 MISSING = "n/a"
-NUMERIC = "decimal(38,6)"
+
+
+NUMERIC = "decimal(38,12)"
 
 #: Placeholder formats: SQL type read from the detail, and how it is printed.
 #: Percentages are rounded first because format_number alone rounds half to even.
@@ -63,7 +65,10 @@ def _fill(template: str, items: Mapping[str, str], owner: str) -> str:
             members = ", ".join(f"{owner}.{name(m)}" for m in member.split("+"))
             parts.append(f"concat_ws(' / ', {members})")
         else:
-            parts.append(f"coalesce({FORMATS[spec][1](value)}, '{MISSING}')")
+            shown = [FORMATS[spec][1](value)]
+            if FORMATS[spec][0] == NUMERIC and owner == "d":  # too large for an exact decimal: as a double
+                shown.append(FORMATS[spec][1](f"try_cast(get_json_object(detail, '$.{member}') as double)"))
+            parts.append(f"coalesce({', '.join(shown)}, '{MISSING}')")
     return f"concat({', '.join(parts)})"
 
 
@@ -93,13 +98,16 @@ def _detail_schema(templates: Mapping[str, MessageTemplate]) -> str:
 def render(alert_rows: DataFrame, templates: Mapping[str, MessageTemplate]) -> DataFrame:
     """One message per alert: ``alert_type, issue_type, message``.
 
-    A template is looked up by issue type first, then by alert type. Numbers
-    are read from the detail as exact decimals.
+    A template is looked up by issue type first, then by alert type; an alert
+    of neither is printed with its record and raw detail, so none is lost.
+    Numbers are read from the detail as exact decimals.
     """
-    parsed = alert_rows.selectExpr(*KEYS, f"from_json(detail, {text(_detail_schema(templates))}) as d")
+    parsed = alert_rows.selectExpr(*KEYS, "detail", f"from_json(detail, {text(_detail_schema(templates))}) as d")
     filled = {k: _fill(t.text, t.items, "d") for k, t in templates.items()}
     arms = [f"when {column} = {text(k)} then {m}" for column in ("issue_type", "alert_type") for k, m in filled.items()]
-    return parsed.selectExpr("alert_type", "issue_type", f"case {' '.join(arms)} end as message")
+    parts = ", ".join(f"coalesce(cast({c} as string), '{MISSING}')" for c in (*KEYS, "detail"))
+    chosen = f"case {' '.join(arms)} end" if arms else "cast(null as string)"
+    return parsed.selectExpr("alert_type", "issue_type", f"coalesce({chosen}, concat_ws(' | ', {parts})) as message")
 
 
 def _all_clear_row(as_of: dt.date | str, message: str) -> dict[str, str]:
@@ -119,12 +127,9 @@ def messages(
 ) -> DataFrame:
     """What one run has to say: a message per alert in report order, or the single all-clear.
 
-    The alerts of a run number at most one per configured check, so they are
-    gathered into one ordered array; the checks are evaluated once whether the
-    answer is a list of alerts or the all-clear.
+    Any number of alerts is sorted by Spark; nothing is gathered into one row.
+    The checks behind ``alert_rows`` are evaluated for both branches, so pass a
+    published table where that matters.
     """
-    listed = "sort_array(collect_list(struct(alert_type, issue_type, message)))"
-    clear = struct(_all_clear_row(as_of, clear_text))
-    return aggregate(render(alert_rows, templates), f"{listed} as run").selectExpr(
-        f"inline(if(size(run) = 0, array({clear}), run))"
-    )
+    listed = render(alert_rows, templates).unionByName(all_clear(alert_rows, as_of, clear_text))
+    return listed.orderBy("alert_type", "issue_type", "message")

@@ -525,6 +525,23 @@ ORACLES: dict[str, str] = {
     ),
     "side_totals": f"select check_name, c::double as current_value, p::double as previous_value from ({EVENT_TOTALS})",
     "ratio_change": _change(EVENT_TOTALS, "p > 0 and abs(c - p)::double / p::double > 0.1", EVENT_DAY),
+    "change_fine_measure": f"""
+    with t as (
+      select sum(f) filter (where d = {EVENT_DAY}) as c, sum(f) filter (where d = {EVENT_DAY} - 1) as p
+      from (select ts::date as d, cast(cast(value as decimal(18,2)) * 0.0000001 as decimal(20,9)) as f from events)
+    )
+    select 'fine' as check_name, cast(c as decimal(38,9))::varchar as current_value,
+           cast(p as decimal(38,9))::varchar as previous_value,
+           round(abs(c - p)::double / p::double * 100, 2) as change_pct,
+           case when p > 0 and abs(c - p)::double / p::double > 0.1 then 'ALERT' else 'OK' end as status from t""",
+    "change_double_measure": f"""
+    with t as (
+      select count(*) filter (where ts::date = {EVENT_DAY}) as c, count(*) filter (where ts::date = {EVENT_DAY} - 1) as p
+      from events
+    )
+    select 'huge' as check_name, c as n_current, p as n_previous,
+           case when abs(c - p) > 0.1 * p then 'ALERT' else 'OK' end as status from t
+    union all select 'odd', null, p, 'ALERT' from t""",
     "abs_change": _change(ORDER_TOTALS, "abs(c - p) > 800000", ORDER_DAY),
     "entity_deltas": f"select check_name, entity, current_value::double as current_value, "
     f"previous_value::double as previous_value, delta::double as delta from ({EVENT_SIDES})",
@@ -550,16 +567,17 @@ ORACLES: dict[str, str] = {
     where status = 'ALERT'""",
     "missing_sample": _sample(EVENT_FACTS, "user_id", True),
     "missing_sample_repeated": _sample(EVENT_FACTS, "user_id", False),
-    "contract_not_null": "select event_id, event_type from events where event_type is null",
+    "contract_not_null": "select event_id, null::varchar as event_type from events where event_type = 'error'",
     "contract_accepted_values": "select event_type, count(*) as n_rows from events "
     "where event_type not in ('click', 'purchase', 'signup', 'view') group by event_type",
     "contract_forbidden": "select event_type, count(*) as n_rows from events "
     "where lower(event_type) like '%err%' group by event_type",
     "contract_report": """
-    select 'not_null' as rule, 'event_type' as column_name, count(*) as violations from events where event_type is null
-    union all select 'accepted_values', 'event_type', count(*) from events
+    with e as (select case when event_id % 7 <> 0 then event_type end as event_type from events)
+    select 'not_null' as rule, 'event_type' as column_name, count(*) as violations from e where event_type is null
+    union all select 'accepted_values', 'event_type', count(*) from e
               where event_type not in ('click', 'purchase', 'signup', 'view')
-    union all select 'retired_value', 'event_type', count(*) from events where lower(event_type) like '%err%'""",
+    union all select 'retired_value', 'event_type', count(*) from e where lower(event_type) like '%err%'""",
     "monitor_scorecard": f"{MONITOR_CARD} select * from card",
     "monitor_alerts": f"{MONITOR_CARD} select * exclude (status) from card where status = 'ALERT'",
     "monitor_report": f"""{MONITOR_CARD}, dups as ({_DUP_STATS})

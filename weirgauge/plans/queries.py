@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -158,6 +159,36 @@ def ratio_change(spark, sf_dir):
     return change.change_scorecard(B.pinned_events(spark, sf_dir), checks, B.EVENT_DAY, "user_id").drop("top_drivers")
 
 
+@query
+def change_fine_measure(spark, sf_dir):
+    """A measure with nine digits after the point: totals keep all of them (compared as text)."""
+    rows = B.events(spark, sf_dir).selectExpr("*", "cast(amount * 0.0000001 as decimal(20,9)) as fine")
+    check = change.ChangeCheck("fine", change.Side("events"), change.Side("events", 1), "fine", "0.1")
+    tables = {"events": change.PinnedTable(rows, ("ts",))}
+    card = change.change_scorecard(tables, [check], B.EVENT_DAY, "user_id")
+    shown = [f"cast(cast({c} as decimal(38,9)) as string) as {c}" for c in ("current_value", "previous_value")]
+    return card.selectExpr("check_name", *shown, "change_pct", "status")
+
+
+@query
+def change_double_measure(spark, sf_dir):
+    """Totals beyond any decimal, and one that is not a number, which counts as a breach."""
+    rows = B.events(spark, sf_dir).selectExpr(
+        "ts", "user_id", "1e36d as huge", f"if({ON_EVENT_DAY}, double('NaN'), 1d) as odd"
+    )
+    sides = (change.Side("events"), change.Side("events", 1))
+    checks = [change.ChangeCheck("huge", *sides, "huge", "0.1"), change.ChangeCheck("odd", *sides, "odd", "0.1")]
+    card = change.change_scorecard({"events": change.PinnedTable(rows, ("ts",))}, checks, B.EVENT_DAY, "user_id")
+    rows_of = "cast(round({} / 1e36d) as bigint) as n_{}"
+    return card.where("check_name = 'huge'").selectExpr(
+        "check_name", rows_of.format("current_value", "current"), rows_of.format("previous_value", "previous"), "status"
+    ).unionByName(
+        card.where("check_name = 'odd'").selectExpr(
+            "check_name", "cast(null as bigint) as n_current", "cast(previous_value as bigint) as n_previous", "status"
+        )
+    )
+
+
 @query
 def abs_change(spark, sf_dir):
     """Absolute test; a day without rows gives missing totals and no alert."""
@@ -260,8 +291,9 @@ WITHOUT_ERROR = tuple(t for t in B.EVENT_TYPES if t != "error")
 
 @query
 def contract_not_null(spark, sf_dir):
-    """No rows: the event type is always set."""
-    return contracts.expect_not_null(B.events(spark, sf_dir).select("event_id", "event_type"), "event_type")
+    """The events whose type is missing once errors count as missing."""
+    rows = B.events(spark, sf_dir).selectExpr("event_id", "nullif(event_type, 'error') as event_type")
+    return contracts.expect_not_null(rows, "event_type")
 
 
 @query
@@ -281,7 +313,8 @@ def contract_report(spark, sf_dir):
         contracts.accepted_values("event_type", WITHOUT_ERROR),
         contracts.retired_value("event_type", "err"),
     ]
-    return contracts.contract_report(B.events(spark, sf_dir), rules)
+    rows = B.events(spark, sf_dir).selectExpr("if(event_id % 7 = 0, null, event_type) as event_type")
+    return contracts.contract_report(rows, rules)
 
 
 # -- the revenue monitor -----------------------------------------------------------------
@@ -300,7 +333,7 @@ def monitor_scorecard(spark, sf_dir):
 @query
 def monitor_alerts(spark, sf_dir):
     """The alert union, published under a name and read back through it."""
-    view = B.revenue_monitor(spark, sf_dir).publish("weirgauge_alerts")
+    view = B.revenue_monitor(spark, sf_dir).publish(f"weirgauge_alerts_{uuid.uuid4().hex}")
     return _rounded(view)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from weirgauge.functions.expr import deviation_cause, plain, struct, text
 from weirgauge.operators import envelope as env
@@ -41,11 +42,12 @@ class ChangeReport:
     columns: Mapping[str, str]
     constants: Mapping[str, str]
     driver_constants: Mapping[str, str]
-    digits: int = 2
 
-    def shown(self, column: str) -> str:
-        """A figure in fixed-point form; totals carry the measure's own number of digits."""
-        return plain(column, self.digits if column in ("current_value", "previous_value") else 2)
+    def shown(self, column: str, whole: bool = False) -> str:
+        """Totals as they are, never rounded (``whole``: of an integer measure); other figures with two digits."""
+        if column not in ("current_value", "previous_value"):
+            return plain(column)
+        return f"cast({column} as decimal(38,0))" if whole else column
 
 
 _TODAY, _SNAP_1, _SNAP_2 = Side(V.DAILY), Side(V.SNAPSHOT, 1), Side(V.SNAPSHOT, 2)
@@ -88,7 +90,6 @@ CHANGES = {
             "field": "number_of_employees",
             "product_code": V.CORE_PRODUCT,
         },
-        digits=0,
     ),
     V.GROWTH: ChangeReport(
         ChangeCheck(
@@ -204,15 +205,22 @@ class RevenueMonitor:
             "source_table": "source_table",
         }
 
+    def _is_whole(self, report: ChangeReport) -> bool:
+        """Whether the measure is an integer on both sides, so that its totals have no digits after the point."""
+        tables = {V.DAILY: self.daily, V.SNAPSHOT: self.snapshot}
+        sides = (report.check.current, report.check.previous)
+        return all(isinstance(tables[s.table].schema[report.check.measure].dataType, T.IntegralType) for s in sides)
+
     def _change_detail(self, report: ChangeReport) -> str:
+        whole = self._is_whole(report)
         driver = {
             "company_id": "driver.entity",
             "account_name": "driver.name",
-            f"delta_{report.check.measure}": plain("driver.delta", report.digits),
+            f"delta_{report.check.measure}": "cast(driver.delta as decimal(38,0))" if whole else "driver.delta",
             **{member: text(value) for member, value in report.driver_constants.items()},
         }
         members = {
-            **{shown: report.shown(column) for shown, column in report.figures.items()},
+            **{shown: report.shown(column, whole) for shown, column in report.figures.items()},
             "date": "alert_date",
             **{member: text(value) for member, value in report.constants.items()},
             "top_drivers": f"transform(top_drivers, driver -> {struct(driver)})",
@@ -356,7 +364,7 @@ class RevenueMonitor:
             f"{text(name)} as issue_type",
             f"{text(report.source_table)} as source_table",
             "alert_date",
-            *[f"{report.shown(column)} as {shown}" for shown, column in report.columns.items()],
+            *[f"{report.shown(column, self._is_whole(report))} as {shown}" for shown, column in report.columns.items()],
             "status",
             f"{self._change_detail(report)} as detail",
         )
