@@ -6,11 +6,14 @@ the smallest distance. The driver learns the lists' centroids from a bounded sam
 between two means, so lists are balanced; it links each centroid to its nearest ones, and tasks walk this graph in
 memory to find a vector's nearest lists. A vector near a boundary enters several lists (all within ``CLOSURE`` of the
 nearest distance, ``REPLICAS`` at most). A query reads the lists within ``RATIO`` of its nearest distance, at least
-``LEAST`` of them. Long lists and many queries are cut into blocks that meet pairwise, so no task holds a whole list.
+``LEAST`` of them, and more while those hold too few vectors for a full answer. Long lists and many queries are cut into
+blocks that meet pairwise, so no task holds a whole list. Found vectors that cannot be in the answer are left out early,
+by a floor under each query's scores: the last of the k + 1 best among the sample's vectors in the very lists that the
+query reads. These are found, so a floor never costs a row.
 
 Vectors that are null or zero, hold null or non-finite values, or have another length than most, take no part; nor do
 rows without an id. Rows that repeat an id count once, with the smallest of their vectors. Fewer candidates than asked
-for are all returned, if their lists are read. Other columns are ignored; an empty table gives no rows.
+for are all returned. Other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -167,35 +170,62 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, key: str = "vec_id",
     n, longest = different.agg(F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))).first()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = different.orderBy(F.xxhash64("v"), "first").limit(SAMPLE).select("v").toArrow()
+    sample = different.orderBy(F.xxhash64("v"), "first").limit(SAMPLE).select("uid", "v").toArrow()
     known_vectors = _matrix(sample.column("v"))
     lists = learn(known_vectors, float(longest), max(1, min(MOST_LISTS, n // LIST_SIZE)))
-    shared = spark.sparkContext.broadcast((lists, known_vectors))
+    shared = spark.sparkContext.broadcast(lists)
     reach = max(LEAST, int(REACH * len(lists.centroids)))
 
-    def place(batches: Iterator[pa.RecordBatch], asking: bool) -> Iterator[pa.RecordBatch]:
-        known, sample = shared.value
+    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            x = _matrix(batch.column("v"))
-            near, far = known.nearest(known.as_query(x) if asking else known.lengthened(x), reach if asking else REPLICAS)
-            keep = (near >= 0) & (far <= far[:, :1] * (RATIO if asking else CLOSURE))
-            if asking:
-                keep[:, :LEAST] |= near[:, :LEAST] >= 0
-            floor = np.full(len(x), -np.inf)
-            if asking and len(sample) > k:  # k + 1 vectors of the sample reach this, so the answers do
-                for a in range(0, len(x), 256):
-                    floor[a : a + 256] = np.partition(x[a : a + 256] @ sample.T, len(sample) - k - 1, axis=1)[:, len(sample) - k - 1]
-            row, at = np.nonzero(keep)
+            near, far = shared.value.nearest(shared.value.lengthened(_matrix(batch.column("v"))), REPLICAS)
+            row, at = np.nonzero((near >= 0) & (far <= far[:, :1] * CLOSURE))
             columns = [batch.column(c).take(pa.array(row)) for c in ("uid", "first", "v")]
-            yield pa.RecordBatch.from_arrays([pa.array(near[row, at].astype(np.int32)), *columns, pa.array(floor[row])], ["list", "uid", "first", "v", "floor"])
+            yield pa.RecordBatch.from_arrays([pa.array(near[row, at].astype(np.int32)), *columns, pa.nulls(len(row), pa.float64())], ["list", "uid", "first", "v", "floor"])
 
     schema = "list int, uid long, first long, v array<double>, floor double"
-    entries = stored(different.select("uid", "first", "v").mapInArrow(lambda b: place(b, False), schema), "posting-lists")
-    asked = stored(different.where("asked").select("uid", "first", "v").mapInArrow(lambda b: place(b, True), schema), "list-queries")
+    entries = stored(different.select("uid", "first", "v").mapInArrow(enter, schema), "posting-lists")
+    held = {r["list"]: r["count"] for r in entries.groupBy("list").count().collect()}
+    sizes_of = np.array([held.get(i, 0) for i in range(len(lists.centroids))])
+    # in which lists the sample's vectors really are
+    sampled = spark.createDataFrame(sample.select(["uid"]))
+    placed = entries.join(F.broadcast(sampled), "uid").select("uid", "list").toArrow()
+    order = np.argsort(sample.column("uid").to_numpy())
+    entered = np.zeros((len(known_vectors), len(lists.centroids)), bool)
+    entered[order[np.searchsorted(sample.column("uid").to_numpy(), placed.column("uid").to_numpy(), sorter=order)], placed.column("list").to_numpy()] = True
+    known_sample = spark.sparkContext.broadcast((known_vectors, np.packbits(entered, axis=1), sizes_of))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, (sample, bits, sizes) = shared.value, known_sample.value
+        # a vector is in REPLICAS lists at most, so lists with so many entries hold k + 1 vectors
+        entered, need = np.unpackbits(bits, axis=1, count=len(sizes)).astype(np.float32), (k + 1) * REPLICAS
+        for batch in batches:
+            for a in range(0, len(batch), 256):
+                part = batch.slice(a, 256)
+                x = _matrix(part.column("v"))
+                near, far = known.nearest(known.as_query(x), reach)
+                keep = (near >= 0) & (far <= far[:, :1] * RATIO)
+                keep[:, :LEAST] |= near[:, :LEAST] >= 0
+                count = np.where(near >= 0, sizes[near], 0)
+                keep |= (near >= 0) & (np.cumsum(count, axis=1) - count < need)
+                reads = np.zeros((len(x), len(sizes)), bool)
+                row, at = np.nonzero(keep)
+                reads[row, near[row, at]] = True
+                reads[reads @ sizes < need] = True
+                floor = np.full(len(x), -np.inf)
+                if len(sample) > k:
+                    scores = np.where(reads.astype(np.float32) @ entered.T > 0, x @ sample.T, -np.inf)
+                    floor = np.partition(scores, len(sample) - k - 1, axis=1)[:, len(sample) - k - 1]
+                    floor -= 1e-9 * (1 + known.length * np.sqrt((x**2).sum(axis=1)))  # beyond all rounding
+                row, at = np.nonzero(reads)
+                columns = [part.column(c).take(pa.array(row)) for c in ("uid", "first", "v")]
+                yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *columns, pa.array(floor[row])], ["list", "uid", "first", "v", "floor"])
+
+    asked = stored(different.where("asked").select("uid", "first", "v").mapInArrow(ask, schema), "list-queries")
     # blocks of long lists and of many queries: every block of one meets every block of the other; at most MOST_LISTS rows
-    parts = {r["list"]: r["count"] // BLOCK + 1 for r in entries.groupBy("list").count().collect()}
+    parts = {i: n // BLOCK + 1 for i, n in held.items()}
     turns = {r["list"]: r["count"] // BLOCK + 1 for r in asked.groupBy("list").count().collect()}
     sizes = spark.createDataFrame([(i, parts.get(i, 1), turns.get(i, 1)) for i in range(len(lists.centroids))], "list int, parts int, turns int")
 
