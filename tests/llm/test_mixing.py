@@ -61,6 +61,18 @@ def test_mix(spark, rows):
     assert set(counts) == set(range(6)) and max(counts.values()) - min(counts.values()) <= 1
 
 
+@pytest.mark.parametrize("sources,words,most", [(90, 700, 64), (9, 70, mixing.MOST_BLOCKS)])
+def test_small_sources_meet_their_targets(spark, monkeypatch, sources, words, most):
+    """Sources that are small beside the corpus (as with so few blocks for all of it), or beside a block."""
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", most)
+    docs = spark.createDataFrame([(i, f"s{i % sources:02}", "w " * (words // 2)) for i in range(2 * sources)], "doc_id long, source string, text string")
+    want = brute_targets({f"s{i:02}": words for i in range(sources)})
+    got = mixing.draws(docs).select("source", F.expr("aggregate(draws, 0L, (s, d) -> s + d.to - d.from)").alias("n")).groupBy("source").agg(F.sum("n").alias("n")).collect()
+    assert len(got) == sources
+    for r in got:
+        assert abs(r.n - want[r.source]) <= 0.03 * want[r.source], (r, want[r.source])
+
+
 def test_split_is_exact_and_hypergeometric(spark):
     one = spark.createDataFrame([([40, 0, 25, 1],)], "quotas array<bigint>")
     firsts = []

@@ -1,7 +1,7 @@
 """Mixing sources to target weights, by DataFrame and SQL functions only.
 
-A source is a stream of words: its documents in a seeded order, cut into blocks of equal length. Its target gives an
-exact quota of block draws: whole passes over the stream and, without replacement, the rest. The quotas of all sources
+A source is a stream of words: its documents in a seeded order, cut into blocks of a length of its own, small beside its
+size and target whatever the size of the corpus. Its target gives an exact quota of block draws: whole passes over the stream and, without replacement, the rest. The quotas of all sources
 are split among output shards by a tree: each node divides its quotas between two halves of its shards by a
 multivariate hypergeometric draw, as a uniform shuffle of all draws would. A source's draws are numbered by a seeded
 permutation of its blocks, each shard takes its range of numbers, so shards draw disjoint blocks and need no global
@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from weirgauge.llm.common import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Words in a block at least; and blocks at most, which bounds the work of the tree whatever the size of the corpus.
+#: Words in a block; fewer in a source whose size or target is under so many blocks; more in one that would have more
+#: than so many, which bounds the work of the tree whatever the size of the corpus.
 BLOCK_WORDS = 64
-MOST_BLOCKS = 1 << 22
+FEWEST_BLOCKS, MOST_BLOCKS = 128, 1 << 22
 SHARDS = 16
 #: Primes above 2 ** 32: none divides a smaller number of blocks, so each steps through all blocks.
 PRIMES = (4294967311, 4294967357, 4294967371, 4294967377)
@@ -110,7 +111,8 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
 
 def plan(sizes: DataFrame, shards: int = SHARDS, seed: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per source: source, source_size, target, block (words in one), blocks, ends (array: draws up to each shard's end)."""
-    block = F.greatest(F.lit(block_words), F.ceil(F.sum("source_size").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) / MOST_BLOCKS)).cast("long")
+    short = F.floor(F.least(F.col("source_size").cast("double"), F.col("target")) / FEWEST_BLOCKS)
+    block = F.greatest(F.lit(1), F.least(F.lit(block_words), short), F.ceil(F.col("source_size") / MOST_BLOCKS)).cast("long")
     sources = targets(sizes).select("*", block.alias("block"))
     sources = sources.select("*", F.ceil(F.col("source_size") / F.col("block")).cast("long").alias("blocks"))
     passes = F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))
