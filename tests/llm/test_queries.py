@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not Path(SMALL).exists(), reason="benchmark tabl
 
 
 def test_one_query_per_operator():
-    assert sorted(int(q.split("_")[0][2:]) for q in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert sorted(int(q.split("_")[0][2:]) for q in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weirgauge.llm import ann, bpe, exact_dedup, jaccard_join, langid, licences, mixing, quality, substring_dedup, warc
+from weirgauge.llm import ann, bpe, conversation_repair, exact_dedup, filter_audit, jaccard_join, langid, licences, mixing, packing, quality, substring_dedup, warc
 from weirgauge.llm.common import table
 
 
@@ -56,6 +57,24 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scanned(table(spark, sf_dir, "documents"))
 
 
+#: The tokenizer of the packed sequences; on a cluster, a path that the driver can open.
+WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(table(spark, sf_dir, "documents"), packing.read_model(spark, WORD_MODEL))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audited(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = filter_audit.failures(table(spark, sf_dir, "documents"))
+    return filter_audit.audit(filter_audit.counted(failed, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_ann": op2_ann,
@@ -67,4 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_langid": op8_langid,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_licences": op10_licences,
+    "op11_packing": op11_packing,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_filter_audit": op13_filter_audit,
 }
