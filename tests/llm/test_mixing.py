@@ -98,6 +98,36 @@ def test_shards_and_documents(spark, rows):
     assert mixing.mixed_documents(docs).columns == docs.columns
 
 
+def test_rows_with_null_and_repeated_ids(spark):
+    """Rows are told apart whatever their ids: the mix holds the words that are taken, none from another row's text."""
+    made = [(None, "a", " ".join(f"{c}{i}" for i in range(53))) for c in "xyz"] + [(4, "b", "p q r"), (4, "b", "s t u"), (4, "b", "s t u"), (4, None, "v " * 90)]
+    made += [(None, "a", None)] + [(i, "c", f"c{i} " * 40) for i in range(30)]
+    docs = spark.createDataFrame([(*m, 1, "x", "y", "z") for m in made], "doc_id long, source string, text string, size int, `row` string, doc string, at string").repartition(3)
+    drawn = mixing.draws(docs)
+    want = Counter()
+    for r in mixing.taken(drawn).collect():
+        want[r.doc_id, r.size] += r.taken
+    size = {t: len(WORDS.findall(t or "")) for _, _, t in made}
+    for got in (mixing.mixed_documents(docs), mixing.shuffled_shards(docs)):
+        words, by_text = Counter(), Counter()
+        for r in got.collect():
+            own = WORDS.findall(r.text)
+            whole = next(t for i, _, t in made if i == r.doc_id and t and set(own) <= set(t.split()))
+            words[r.doc_id, size[whole]] += len(own)
+            by_text[whole] += len(own)
+        assert {k: n for k, n in want.items() if n} == dict(words)
+        copies = Counter(t for _, _, t in made)
+        assert all(n <= 2 * size[t] * copies[t] for t, n in by_text.items())
+    assert mixing.mixed_documents(docs).columns == docs.columns
+
+
+def test_equal_sources_share_alike(spark):
+    """Nine sources of the same size, so that several have the same ratio of size to weight."""
+    docs = spark.createDataFrame([(i, f"s{i % 9}", "w " * 35) for i in range(18)], "doc_id long, source string, text string")
+    got = {r.source: r.target for r in mixing.targets(docs.select("source", mixing.n_words().alias("size"))).collect()}
+    assert got == pytest.approx(brute_targets({f"s{i}": 70 for i in range(9)})) and sum(got.values()) == pytest.approx(945)
+
+
 def test_empty_and_wordless(spark):
     docs = spark.createDataFrame([], "doc_id long, source string, text string")
     assert mixing.taken(mixing.draws(docs)).count() == 0

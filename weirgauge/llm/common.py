@@ -37,6 +37,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """The rows as one struct column ``doc``, whatever their columns are called, with a ``row`` number each; stored, so
+    that a row keeps its number and rows with null or repeated ids can be told apart."""
+    columns = F.struct(*(docs[f"`{c.replace('`', '``')}`"] for c in docs.columns))
+    return stored(docs.select(columns.alias("doc"), F.monotonically_increasing_id().alias("row")), name)
+
+
 def importable(spark: SparkSession) -> None:
     """Lets Python workers on this machine find the package even if the driver was started elsewhere; a cluster ships it."""
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment

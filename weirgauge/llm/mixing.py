@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirgauge.llm.common import stored
+from weirgauge.llm.common import numbered, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words in a block; fewer in a source whose size or target is under so many blocks; more in one that would have more
@@ -52,8 +52,9 @@ def targets(sizes: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float =
     everything = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # the level that the rest would reach if this source and those with larger ratios shared what the smaller ones leave
     level = (F.lit(share) * F.sum("source_size").over(everything) - F.coalesce(F.sum(F.lit(most) * F.col("source_size")).over(before), F.lit(0))) / F.sum("_weight").over(after)
-    levels = ranked.withColumn("_level", level).withColumn("_full", F.col("_ratio") <= F.col("_level"))
-    reached = F.min(F.when(~F.col("_full"), F.struct("_ratio", "_level"))).over(everything)["_level"]
+    levels = ranked.withColumn("_level", level).withColumn("_full", F.col("_ratio") <= F.col("_level")).withColumn("_rank", F.row_number().over(by_ratio))
+    # the first source that is not full shares with all after it; those of the same ratio that follow would see a lower level
+    reached = F.min(F.when(~F.col("_full"), F.struct("_rank", "_level"))).over(everything)["_level"]
     target = F.when(F.col("_full"), (F.lit(most) * F.col("source_size")).cast("double")).otherwise(F.col("_weight") * reached)
     return levels.select("source", "source_size", target.alias("target"))
 
@@ -130,20 +131,21 @@ def plan(sizes: DataFrame, shards: int = SHARDS, seed: int = 0, block_words: int
     return stored(sources.join(named, F.col("source").eqNullSafe(F.col("_name"))).drop("_name", "_quota"), "mixing-plan")
 
 
-def draws(docs: DataFrame, shards: int = SHARDS, seed: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
+def draws(docs: DataFrame, shards: int = SHARDS, seed: int = 0, block_words: int = BLOCK_WORDS, keep: Sequence[str] = ()) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, draws: array of (pass, shard, from, to, place).
 
-    ``from`` and ``to`` are words of the document, counted from 0; ``place`` is the draw's number in its source.
+    ``from`` and ``to`` are words of the document, counted from 0; ``place`` is the draw's number in its source. The
+    columns ``keep`` are passed on as well.
     """
     order = F.xxhash64(F.lit(seed), "doc_id", "source")
-    rows = stored(docs.select(F.col("doc_id"), F.col("source"), n_words().alias("size"), order.alias("_order")), "mixing-sizes")
+    rows = stored(docs.select(F.col("doc_id"), F.col("source"), n_words().alias("size"), order.alias("_order"), F.xxhash64("text").alias("_form"), *keep), "mixing-sizes")
     count = rows.count()
     # about as many buckets as documents in a bucket, so that neither the sums nor a bucket grow with the whole corpus
     buckets = 1 << round(math.log2(max(count, 1)) / 2)
     rows = rows.withColumn("_bucket", F.pmod("_order", F.lit(buckets)))
     sums = rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
     starts = sums.select("source", "_bucket", F.coalesce(F.sum("_sum").over(Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
-    inner = Window.partitionBy("source", "_bucket").orderBy("_order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("source", "_bucket").orderBy("_order", "doc_id", "size", "_form", *keep).rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("_inner", F.coalesce(F.sum("size").over(inner), F.lit(0)))
     starts = starts.select(F.col("source").alias("_s"), F.col("_bucket").alias("_b"), "_offset")
     placed = placed.join(starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
@@ -159,7 +161,7 @@ def draws(docs: DataFrame, shards: int = SHARDS, seed: int = 0, block_words: int
         "d -> d.place < ends[cardinality(ends) - 1])"
     )
     whole = f"if(size > 0, transform({drawn}, d -> named_struct('pass', d.pass, 'shard', cardinality(filter(ends, e -> e <= d.place)), 'from', d.from, 'to', d.to, 'place', d.place)), array())"
-    return placed.select("doc_id", "source", "size", "source_size", "target", F.expr(whole).alias("draws"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", F.expr(whole).alias("draws"), *keep)
 
 
 def taken(drawn: DataFrame) -> DataFrame:
@@ -172,14 +174,21 @@ def _words(text: str, start: str, end: str) -> str:
     return f"array_join(slice({words}, cast({start} + 1 as int), cast({end} - {start} as int)), ' ')"
 
 
+def _numbered_draws(docs: DataFrame, shards: int, seed: int, block_words: int) -> tuple[DataFrame, DataFrame]:
+    """The documents as ``doc`` and ``row``, and (row, size, d) for each of their draws."""
+    rows = numbered(docs, "mixing-documents")
+    drawn = draws(rows.select("doc.doc_id", "doc.source", "doc.text", "row"), shards, seed, block_words, ["row"])
+    return rows, drawn.select(F.col("row").alias("at"), "size", F.explode("draws").alias("d"))
+
+
 def shuffled_shards(docs: DataFrame, shards: int = SHARDS, seed: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The mix: shard, doc_id, source, text (words of one drawn block, joined by spaces); rows of a shard in random order.
 
-    Needs distinct ids to find the texts; each task sorts its shards' rows by a seeded number, nothing else moves.
+    Each task sorts its shards' rows by a seeded number, nothing else moves.
     """
-    rows = draws(docs, shards, seed, block_words).select("doc_id", "source", F.explode("draws").alias("d"))
-    texts = docs.select(F.col("doc_id").alias("_id"), "text")
-    parts = rows.join(texts, F.col("doc_id").eqNullSafe(F.col("_id"))).select("d.shard", "doc_id", "source", F.expr(_words("text", "d.from", "d.to")).alias("text"), F.xxhash64(F.lit(seed), "source", "d.place").alias("_turn"))
+    rows, drawn = _numbered_draws(docs, shards, seed, block_words)
+    parts = drawn.join(rows, F.col("at") == F.col("row"))
+    parts = parts.select("d.shard", "doc.doc_id", "doc.source", F.expr(_words("doc.text", "d.from", "d.to")).alias("text"), F.xxhash64(F.lit(seed), "doc.source", "d.place").alias("_turn"))
     return parts.repartition("shard").sortWithinPartitions("shard", "_turn").drop("_turn")
 
 
@@ -188,13 +197,13 @@ def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
 
     Columns as in ``docs``; n_chars, if there, is counted anew. Documents of which nothing is drawn are not in the mix.
     """
-    per_pass = draws(docs, seed=seed).select("doc_id", "size", F.explode("draws").alias("d"))
-    per_pass = per_pass.groupBy("doc_id", "size", "d.pass").agg(F.sort_array(F.collect_list(F.struct("d.from", "d.to"))).alias("_parts"))
-    per_pass = per_pass.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "_parts")
-    joined = docs.join(per_pass, F.col("doc_id").eqNullSafe(F.col("_id")))
-    some = "array_join(transform(_parts, p -> " + _words("text", "p.from", "p.to") + "), ' ')"
-    text = F.when(F.expr("aggregate(_parts, 0L, (s, p) -> s + p.to - p.from) = _size"), F.col("text")).otherwise(F.expr(some))
-    out = joined.withColumn("text", text)
+    rows, drawn = _numbered_draws(docs, SHARDS, seed, BLOCK_WORDS)
+    per_pass = drawn.groupBy("at", "size", "d.pass").agg(F.sort_array(F.collect_list(F.struct("d.from", "d.to"))).alias("parts"))
+    joined = rows.join(per_pass, F.col("row") == F.col("at"))
+    some = "array_join(transform(parts, p -> " + _words("doc.text", "p.from", "p.to") + "), ' ')"
+    text = F.when(F.expr("aggregate(parts, 0L, (s, p) -> s + p.to - p.from) = size"), F.col("doc.text")).otherwise(F.expr(some))
+    joined = joined.select("doc", text.alias("mixed"))
+    changed = {"text": F.col("mixed")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.length("mixed").cast(docs.schema["n_chars"].dataType)
+    return joined.select(*(changed.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns))
