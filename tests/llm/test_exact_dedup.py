@@ -45,6 +45,12 @@ def test_deduplicated_keeps_one_of_each(spark, rows):
     assert {(i, (t or "").translate(LOWER)) for i, t in got} == {(k, h) for k, h in {(b[1], t) for b in brute(rows) if b[3] for i, t in ((i, (x or "").translate(LOWER)) for i, x in rows) if i == b[1] and hashlib.sha256(t.encode()).hexdigest() == b[4]}}
 
 
+def test_clashing_names_and_nulls_without_ids(spark):
+    docs = spark.createDataFrame([(None, "A", 1, "x"), (None, "a", 2, "y"), (3, None, 3, "z"), (3, "", 4, "z")], "doc_id long, text string, `row` int, doc string").repartition(2)
+    got = ed.deduplicated(docs)
+    assert got.columns == docs.columns and len(got.collect()) == 2
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ed.groups(docs).count() == 0 and ed.deduplicated(docs).count() == 0

@@ -18,10 +18,10 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgauge.llm.common import lookup, stored
+from weirgauge.llm.common import lookup, numbered, stored
 
 #: Bytes of different texts above which a bucket splits, and the most bits that a directory may use.
 BUCKET_BYTES = 8 << 20
@@ -41,12 +41,13 @@ def _ddl(schema: pa.Schema) -> str:
 
 
 def hashed(docs: DataFrame, key_bits: int = 60) -> DataFrame:
-    """doc_id, key (the first bits of the digest), size (bytes) and sha (hex SHA-256) of each normalised text."""
+    """doc_id, row, key (the first bits of the digest), size (bytes) and sha (hex SHA-256) of each normalised text."""
     text = F.translate(F.coalesce("text", F.lit("")), _UPPER, _UPPER.lower())
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("_text"))
-    rows = rows.select("doc_id", F.octet_length("_text").cast("long").alias("size"), F.sha2("_text", 256).alias("sha"))
+    row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.cast("long").alias("row"), text.alias("_text"))
+    rows = rows.select("doc_id", "row", F.octet_length("_text").cast("long").alias("size"), F.sha2("_text", 256).alias("sha"))
     key = F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")
-    return rows.select("doc_id", F.shiftright(key, 60 - key_bits).alias("key"), "size", "sha")
+    return rows.select("doc_id", "row", F.shiftright(key, 60 - key_bits).alias("key"), "size", "sha")
 
 
 class Directory:
@@ -166,24 +167,23 @@ def index(docs: DataFrame, slots: Directory, key_bits: int = 60) -> DataFrame:
 
 def groups(docs: DataFrame, key_bits: int = 60, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    return _grouped(docs.select("doc_id", "text"), key_bits, bucket_bytes).drop("row")
+
+
+def _grouped(docs: DataFrame, key_bits: int, bucket_bytes: int) -> DataFrame:
+    """The same with ``row``: the number that ``docs`` have or else get."""
     rows = stored(hashed(docs, key_bits), "hashed-documents")
     slots = directory(rows, key_bits, bucket_bytes)
     entries = index(docs, slots, key_bits).select("key", "sha", "keep_id", "copies")
-    found = lookup(rows, entries, ["key", "sha"], "copies", ["doc_id"])
-    again = F.row_number().over(Window.partitionBy("sha", "doc_id").orderBy("key"))
-    return found.select(
-        "doc_id",
-        "keep_id",
-        F.col("copies").alias("group_size"),
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (again == 1)).alias("kept"),
-        F.col("sha").alias("text_sha256"),
-    )
-
-
-def deduplicated(docs: DataFrame, **options: int) -> DataFrame:
+    found = stored(lookup(rows, entries, ["key", "sha"], "copies", ["row"]).select("doc_id", "row", "keep_id", "copies", "sha"), "found-documents")
+    # of rows that repeat id and text the first stays; they are met before they move
+    stays = found.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("sha").agg(F.min("row").alias("stays")).select("stays")
+    found = found.join(stays, F.col("row") == F.col("stays"), "left")
+    return found.select("doc_id", "row", "keep_id", F.col("copies").alias("group_size"), F.col("stays").isNotNull().alias("kept"), F.col("sha").alias("text_sha256"))
+
+
+def deduplicated(docs: DataFrame, key_bits: int = 60, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """The documents that stay, with all their columns."""
-    kept = groups(docs, **options).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    text = F.translate(F.coalesce("text", F.lit("")), _UPPER, _UPPER.lower())
-    rows = docs.withColumn("_sha", F.sha2(text, 256))
-    joined = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
-    return joined.dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
+    rows = numbered(docs, "dedup-documents")
+    kept = _grouped(rows.select("doc.doc_id", "doc.text", "row"), key_bits, bucket_bytes).where("kept").select("row")
+    return rows.join(kept, "row", "left_semi").select("doc.*")

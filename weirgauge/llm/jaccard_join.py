@@ -14,8 +14,8 @@ So every link between different texts is found or implied, and no group is expan
 
 A set: distinct ``width``-word shingles of the lower-cased (A-Z) text; with fewer words, the whole sequence as one;
 without words, empty and linked with nothing. Null texts have no words. Null ids take part, but no component is named
-after them unless it has no other id. Rows that repeat an id are separate documents of one name. Other columns are
-ignored; an empty table gives no rows.
+after them unless it has no other id. Rows that repeat an id are documents each: rows are told apart by a number of their
+own. Other columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirgauge.llm.common import lookup, pieces, stored
+from weirgauge.llm.common import lookup, numbered, pieces, stored
 from weirgauge.llm.components import components
 from weirgauge.llm.packed import bucket_of, pack, unpack
 from weirgauge.llm.wordhash import Words, inside, mix, windows
@@ -84,20 +84,26 @@ def _counts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
     yield pa.RecordBatch.from_arrays([pa.array(range(SEGMENTS), pa.int32()), pa.array([pack(p) for p in parts], pa.binary())], ["segment", "data"])
 
 
-def _sum_counts(table: pa.Table) -> pa.Table:
-    total = sum(unpack(data.as_buffer())[0].astype(np.uint64) for data in table.column("data"))
-    return pa.table({"segment": table.column("segment").slice(0, 1).cast(pa.int32()), "data": pa.array([pack(total)], pa.binary())})
+def _level(table: pa.Table) -> pa.Table:
+    """How common the shingles of one segment's counters are, from the counts of all tasks."""
+    total = np.zeros((1 << SKETCH_BITS) // SEGMENTS, np.uint64)
+    for data in table.column("data"):
+        total += unpack(data.as_buffer())[0]
+    made = np.minimum(8 * np.log2(total + 1.0), 255).astype(np.uint8)
+    return pa.table({"segment": table.column("segment").slice(0, 1).cast(pa.int32()), "data": pa.array([pack(made)], pa.binary())})
 
 
 def levels(docs: DataFrame, width: int = WIDTH) -> np.ndarray:
-    """How common the shingles of each counter are, in eighths of powers of two; counts cover all documents."""
+    """How common the shingles of each counter are, in eighths of powers of two; counts cover all documents.
+
+    The driver gets a byte for each counter.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _counts(batches, width)
 
-    made = docs.select("text").mapInArrow(count, "segment int, data binary").groupBy("segment").applyInArrow(_sum_counts, "segment int, data binary")
-    counts = np.concatenate([unpack(r.data)[0] for r in sorted(made.collect(), key=lambda r: r.segment)] or [np.zeros(1 << SKETCH_BITS)])
-    return np.minimum(8 * np.log2(counts + 1.0), 255).astype(np.uint8)
+    made = docs.select("text").mapInArrow(count, "segment int, data binary").groupBy("segment").applyInArrow(_level, "segment int, data binary")
+    return np.concatenate([unpack(r.data)[0] for r in sorted(made.collect(), key=lambda r: r.segment)] or [np.zeros(1 << SKETCH_BITS, np.uint8)])
 
 
 def prefix_lengths(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -244,21 +250,21 @@ def _linked(percent: int) -> Column:
     return F.lit(100) * F.col("overlap") >= F.lit(percent) * (F.col("n1") + F.col("n2") - F.col("overlap"))
 
 
-def named_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, form (tells rows of one id apart), set (its name, null if empty) and n_shingles of each document."""
+def named_sets(keyed: DataFrame, width: int = WIDTH) -> DataFrame:
+    """row, doc_id, set (its name, null if empty) and n_shingles of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, limit=1 << 20):
             made = Sets(batch.column("text"), width, None)
             names = pa.array(made.names, mask=made.sizes == 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("form"), names, pa.array(made.sizes, pa.int64())], ["doc_id", "form", "set", "n_shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), names, pa.array(made.sizes, pa.int64())], ["row", "doc_id", "set", "n_shingles"])
 
-    return _keyed(docs).mapInArrow(run, "doc_id long, form int, set long, n_shingles long")
+    return keyed.mapInArrow(run, "row long, doc_id long, set long, n_shingles long")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash(text).alias("form"), text.alias("text"))
+def _keyed(rows: DataFrame) -> DataFrame:
+    """row, doc_id and text of ``numbered`` documents."""
+    return rows.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), F.coalesce("doc.text", F.lit("")).alias("text"))
 
 
 def inverted_lists(docs: DataFrame, order: Broadcast, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -288,10 +294,8 @@ def links(docs: DataFrame, named: DataFrame, width: int = WIDTH, percent: int =
     chosen = votes.groupBy("set").agg(F.max(F.struct("votes", "head"))["head"].alias("head"))
     nodes = stored(lists.select("set").distinct().join(chosen, "set", "left"), "nodes")
     # sets of the documents in question, made again from one text each
-    one = named.where("set is not null").groupBy("set").agg(F.min(F.struct("doc_id", "form")).alias("d"))
-    wanted = nodes.join(one, "set").select(F.col("d.doc_id").alias("_id"), F.col("d.form").alias("_form"), "head")
-    keyed = _keyed(docs)
-    texts = keyed.join(wanted, keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("form") == F.col("_form"))).select("head", "text")
+    one = named.where("set is not null").groupBy("set").agg(F.min("row").alias("_row"))
+    texts = docs.join(nodes.join(one, "set"), F.col("row") == F.col("_row")).select("head", "text")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _set_rows(batches, width)
@@ -337,22 +341,30 @@ def _other_pairs(lists: DataFrame, nodes: DataFrame, first: DataFrame, labels: D
 
 
 def clustered(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, form, n_shingles, component_id of every document."""
+    """row, doc_id, n_shingles, component_id and stays (true for one row of each component) of every document."""
+    return _clustered(_keyed(numbered(docs.select("doc_id", "text"), "join-documents")), width, percent)
+
+
+def _clustered(docs: DataFrame, width: int, percent: int) -> DataFrame:
     named = stored(named_sets(docs, width), "named-sets")
     labels = components(links(docs, named, width, percent))
-    members = named.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("first"), F.count("*").alias("size"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    members = named.where("set is not null").groupBy("set").agg(first.alias("first"), F.count("*").alias("size"))
     placed = stored(members.join(labels, F.col("set") == F.col("node"), "left").select("set", "first", "size", F.coalesce("component", "set").alias("component")), "placed")
     # components hold few different sets or very many; the smallest id is combined within tasks and looked up
-    smallest = placed.groupBy("component").agg(F.min("first").alias("component_id"), F.count("*").alias("sets"))
-    by_set = lookup(placed, smallest, ["component"], "sets", ["set"]).select("set", "component_id", "size")
-    out = lookup(named, by_set, ["set"], "size", ["doc_id", "form"])
-    return out.select("doc_id", "form", "n_shingles", F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    smallest = placed.groupBy("component").agg(F.min("first").alias("named_after"), F.count("*").alias("sets"))
+    by_set = lookup(placed, smallest, ["component"], "sets", ["set"]).select("set", "named_after", "size")
+    out = lookup(named, by_set, ["set"], "size", ["row"])
+    alone = F.col("set").isNull()
+    return out.select("row", "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("named_after.doc_id")).alias("component_id"), (alone | (F.col("row") == F.col("named_after.row"))).alias("stays"))
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The documents that stay if one of each component does: that after which it is named; all columns kept."""
-    stays = clustered(docs, width, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("form").alias("_form"))
-    form = F.hash(F.coalesce("text", F.lit("")))
-    rows = docs.withColumn("_own", form)
-    kept = rows.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_form")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_own"]).select(*docs.columns)
+    """The documents that stay if one of each component does: that after which it is named; all columns kept.
+
+    Documents without words are linked with nothing and stay. Of rows that repeat the id and the words, one stays; of a
+    component without any id, one.
+    """
+    rows = numbered(docs, "join-documents")
+    stays = _clustered(_keyed(rows), width, percent).where("stays").select("row")
+    return rows.join(stays, "row", "left_semi").select("doc.*")

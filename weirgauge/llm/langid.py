@@ -24,6 +24,8 @@ from weirgauge.llm.common import held_out, pieces
 from weirgauge.llm.ngrams import Groups
 
 SAMPLE_ROWS = 300
+#: Shares that the rows of a language are ranked in first.
+SHARES = 64
 BITS, ORDERS, EPOCHS, RATE = 15, (1, 2, 3), 5, 0.5
 #: A lead below this share of the probability marks a text as ambiguous.
 AMBIGUOUS = 0.2
@@ -99,8 +101,12 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 0) -> Mode
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 0) -> Model:
     """Learns from text and language of the rows that are not held out."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
-    by_hash = Window.partitionBy("_lang").orderBy(F.xxhash64(F.lit(seed), "_id"), "_id")
-    picked = known.withColumn("_rank", F.row_number().over(by_hash)).where(F.col("_rank") <= sample_rows).drop("_rank")
+    # a language may hold most rows: its first ones are found among those of each of its shares
+    picked = known.withColumn("_share", F.pmod(F.xxhash64(F.lit(seed + 1), "_id"), F.lit(SHARES)))
+    for within in (["_lang", "_share"], ["_lang"]):
+        by_hash = Window.partitionBy(*within).orderBy(F.xxhash64(F.lit(seed), "_id"), "_id")
+        picked = picked.withColumn("_rank", F.row_number().over(by_hash)).where(F.col("_rank") <= sample_rows).drop("_rank")
+    picked = picked.drop("_share")
     sample = docs.select("doc_id", "text", "lang").join(F.broadcast(picked.dropDuplicates()), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,7 +1,7 @@
 """Quality by supervised subword embeddings: hashed word and character n-gram vectors, averaged per document, softmax.
 
-The vectors and the output layer are learned on the driver by numpy stochastic gradient descent (step sizes by the sum
-of squared gradients) from a bounded sample of labelled rows: ``SAMPLE_ROWS`` per class, those with the smallest hashes.
+The vectors and the output layer are learned by numpy stochastic gradient descent (step sizes by the sum of squared
+gradients), in one task, from a bounded sample of labelled rows: ``SAMPLE_ROWS`` per class, those with the smallest hashes.
 The sample is even between classes; the share of each class among all learnable labels moves the output's bias back.
 Scoring needs no vectors: with two classes, each bucket adds its vector's share of the difference of the two outputs.
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from weirgauge.llm.common import held_out, pieces
 from weirgauge.llm.ngrams import Groups
 
-#: Labelled rows per class that the driver learns from, at most.
+#: Labelled rows per class that the task learns from, at most.
 SAMPLE_ROWS = 1000
 BITS, ORDERS, SIZE, EPOCHS, RATE = 16, (3, 4, 5), 8, 8, 0.1
 
@@ -33,20 +33,6 @@ def _groups(texts: pa.Array) -> Groups:
     return Groups(texts, BITS, ORDERS, words=True, pairs=True, repeats=True)
 
 
-def sparse_rows(rows: DataFrame, label: str) -> list[tuple[object, np.ndarray, np.ndarray]]:
-    """Label, buckets and weights of each (label, text) row; hashed by the tasks, for a sample of bounded size."""
-    kind = dict(rows.dtypes)[label]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, limit=1 << 20):
-            made = _groups(batch.column("text")).sparse()
-            yield pa.RecordBatch.from_arrays([batch.column("label"), *(pa.array([x[i].tobytes() for x in made], pa.binary()) for i in (0, 1))], ["label", "buckets", "weights"])
-
-    made = rows.select(F.col(label).alias("label"), "text").mapInArrow(run, f"label {kind}, buckets binary, weights binary").collect()
-    made = [(r.label, np.frombuffer(r.buckets, np.uint32).astype(np.int64), np.frombuffer(r.weights, np.float32)) for r in made]
-    return sorted(made, key=lambda r: (str(r[0]), r[1].tobytes()))
-
-
 @dataclass
 class Model:
     """``table``: what each bucket adds to the difference of the outputs; ``bias``: that difference without features."""
@@ -90,14 +76,29 @@ def train(rows: list[tuple[object, np.ndarray, np.ndarray]], share: float, seed:
     return Model((vectors @ (output[:, 1] - output[:, 0])).astype(np.float32), float(bias[1] - bias[0]) + prior)
 
 
+def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """label, buckets and weights of each (label, text) row."""
+    for batch in pieces(batches, limit=1 << 20):
+        made = _groups(batch.column("text")).sparse()
+        yield pa.RecordBatch.from_arrays([batch.column("label"), *(pa.array([x[i].tobytes() for x in made], pa.binary()) for i in (0, 1))], ["label", "buckets", "weights"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, seed: int = 0) -> Model:
-    """Learns from the labels of rows that are not held out."""
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label"))
-    share = known.agg(F.avg("_label")).first()[0]
-    per_class = [known.where(F.col("_label") == c).orderBy(F.xxhash64(F.lit(seed), "_id"), "_id").limit(sample_rows) for c in (0, 1)]
-    # the sample has 2 * sample_rows ids, so it is broadcast and the texts stay where they are
+    """Learns from the labels of rows that are not held out, in one task; the driver gets the model only."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label"))
+    share = known.agg(F.avg("label")).first()[0] or 0.0
+    per_class = [known.where(F.col("label") == c).orderBy(F.xxhash64(F.lit(seed), "_id"), "_id").limit(sample_rows) for c in (0, 1)]
+    # the sample has 2 * sample_rows ids, so it is broadcast and the texts stay where they are until they are features
     sample = docs.select("doc_id", "text").join(F.broadcast(per_class[0].unionByName(per_class[1])), F.col("doc_id") == F.col("_id"))
-    return train(sparse_rows(sample.select("_label", "text"), "_label"), share or 0.0, seed)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(x, np.frombuffer(b, np.uint32), np.frombuffer(w, np.float32)) for batch in batches for x, b, w in zip(*(batch.column(c).to_pylist() for c in ("label", "buckets", "weights")), strict=True)]
+        model = train(sorted(rows, key=lambda r: (r[0], r[1].tobytes())), share, seed)
+        yield pa.RecordBatch.from_arrays([pa.array([model.table.tobytes()], pa.binary()), pa.array([float(model.bias)])], ["weights", "bias"])
+
+    features = sample.select("label", "text").mapInArrow(_sparse, "label int, buckets binary, weights binary")
+    made = features.repartition(1).mapInArrow(learn, "weights binary, bias double").collect()
+    return Model(np.frombuffer(made[0].weights, np.float32), made[0].bias) if made else train([], share, seed)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
