@@ -18,9 +18,8 @@ from pyspark.sql import types as T
 
 ALERT = "ALERT"
 OK = "OK"
-
-#: Digits after the point that totals of whole and decimal measures carry at least.
-LEAST_SCALE = 6
+#: Nothing to compare with; only where a check is asked to tell it from OK.
+NO_DATA = "NO_DATA"
 
 
 def as_date(value: dt.date | str) -> dt.date:
@@ -80,13 +79,19 @@ def ratio(part: str, whole: str) -> str:
     return f"(cast({part} as double) / nullif(cast({whole} as double), 0d))"
 
 
+def is_floating(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.DoubleType, T.FloatType))
+
+
 def carrier(frame: DataFrame, columns: Sequence[str]) -> str:
-    """One type for sums of several measures: exact for decimals and integers, with all their digits after the point;
-    double as soon as one measure is a floating-point number, which keeps very large, infinite and NaN totals."""
+    """One type that shows sums of several measures: exact for decimals and integers if it holds all their digits before
+    and after the point; else double. Only for showing: what is tested and ranked keeps the measure's own type."""
     kinds = [frame.schema[c].dataType for c in columns if c in frame.columns]
-    if any(isinstance(k, (T.DoubleType, T.FloatType)) for k in kinds):
+    exact = [(k.precision - k.scale, k.scale) if isinstance(k, T.DecimalType) else (20, 0) for k in kinds if not is_floating(k)]
+    scale = max((s for _, s in exact), default=0)
+    if len(exact) < len(kinds) or max((n for n, _ in exact), default=0) + scale > 38:
         return "double"
-    return f"decimal(38,{max([LEAST_SCALE, *(k.scale for k in kinds if isinstance(k, T.DecimalType))])})"
+    return f"decimal(38,{scale})"
 
 
 def percent(part: str, whole: str, digits: int = 2) -> str:
@@ -109,8 +114,10 @@ def exceeds_amount(current: str, base: str, threshold: Decimal | str) -> str:
     return holds(f"abs(({current}) - ({base})) > {number(threshold)}")
 
 
-def status(breached: str) -> str:
-    return f"case when {breached} then '{ALERT}' else '{OK}' end"
+def status(breached: str, missing: str = "false") -> str:
+    """ALERT or OK; NO_DATA comes first where ``missing`` holds."""
+    no_data = "" if missing == "false" else f"when {missing} then '{NO_DATA}' "
+    return f"case {no_data}when {breached} then '{ALERT}' else '{OK}' end"
 
 
 def deviation_cause(days: int = 7) -> str:
@@ -135,8 +142,8 @@ def ordered_array(position: str, payload: str) -> str:
 
 
 def plain(value: str, digits: int = 2) -> str:
-    """Fixed-point form for JSON, so large numbers are not printed in exponent form."""
-    return f"cast(round({value}, {digits}) as decimal(38,{digits}))"
+    """Fixed-point form for JSON, so large numbers are not printed in exponent form; NULL beyond 38 digits."""
+    return f"try_cast(round({value}, {digits}) as decimal(38,{digits}))"
 
 
 def struct(members: Mapping[str, str]) -> str:

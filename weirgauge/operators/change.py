@@ -28,6 +28,7 @@ from weirgauge.functions.expr import (
     exceeds_ratio,
     holds,
     inline,
+    is_floating,
     name,
     number,
     ordered_array,
@@ -62,16 +63,16 @@ class ChangeCheck:
     where: str = "true"
     absolute: bool = False
 
-    def breach(self, rounded: bool = False) -> str:
-        """Threshold test on ``current_value`` and ``previous_value``; ``rounded`` tests the shown figure."""
-        gap = "abs(current_value - previous_value)"
+    def breach(self, rounded: bool = False, current: str = "current_value", previous: str = "previous_value") -> str:
+        """Threshold test on the two totals; ``rounded`` tests the shown figure."""
+        gap = f"abs({current} - {previous})"
         if self.absolute and rounded:
             return holds(f"round({gap}, 2) > {number(self.threshold)}")
         if self.absolute:
-            return exceeds_amount("current_value", "previous_value", self.threshold)
+            return exceeds_amount(current, previous, self.threshold)
         if rounded:
-            return holds(f"{percent(gap, 'previous_value')} > {number(Decimal(self.threshold) * 100)}")
-        return exceeds_ratio("current_value", "previous_value", self.threshold)
+            return holds(f"{percent(gap, previous)} > {number(Decimal(self.threshold) * 100)}")
+        return exceeds_ratio(current, previous, self.threshold)
 
 
 @dataclass(frozen=True)
@@ -136,7 +137,11 @@ def entity_rollup(
 
     NULL entities group per side: they are never matched with each other.
     """
-    rows = _side_rows(tables, checks, as_of, {"entity": key}, values=True)
+    return combined_sides(_side_rows(tables, checks, as_of, {"entity": key}, values=True), checks)
+
+
+def combined_sides(rows: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame:
+    """Rows (entity, side, cur_i, prev_i, hit_i) to one row per entity."""
     return aggregate(
         rows.selectExpr("*", "case when entity is null then side end as null_side").groupBy("entity", "null_side"),
         *[
@@ -155,6 +160,14 @@ def _carrier(frame: DataFrame, checks: Sequence[ChangeCheck]) -> str:
     return carrier(frame, [f"{side}_{i}" for i in range(len(checks)) for side in ("cur", "prev")])
 
 
+def _exact_gaps(rollup: DataFrame, checks: Sequence[ChangeCheck]) -> dict[int, str]:
+    """Sizes of the deltas in the measures' own types, by check, where the shown type would lose digits of them."""
+    if _carrier(rollup, checks) != "double":
+        return {}
+    kinds = {i: [rollup.schema[f"{side}_{i}"].dataType for side in ("cur", "prev")] for i in range(len(checks))}
+    return {i: f"abs(coalesce(cur_{i}, 0) - coalesce(prev_{i}, 0))" for i, own in kinds.items() if not any(map(is_floating, own))}
+
+
 def _by_entity(rollup: DataFrame, checks: Sequence[ChangeCheck], figures: Mapping[str, str]) -> DataFrame:
     """One row per check and entity present on either side, with figures computed in the measure's own type."""
     exact = _carrier(rollup, checks)
@@ -167,7 +180,8 @@ def _by_entity(rollup: DataFrame, checks: Sequence[ChangeCheck], figures: Mappin
         }
         for i, check in enumerate(checks)
     ]
-    return rollup.selectExpr("entity", "null_side", inline(rows)).where("hit").drop("hit")
+    gaps = [c for c in rollup.columns if c.startswith("gap_")]
+    return rollup.selectExpr("entity", "null_side", *gaps, inline(rows)).where("hit").drop("hit")
 
 
 DELTA = {"delta": "coalesce(cur_{i}, 0) - coalesce(prev_{i}, 0)"}
@@ -179,27 +193,34 @@ def entity_deltas(rollup: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame
     return _by_entity(rollup, checks, figures)
 
 
-def _per_check(one_row: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame:
+def _per_check(one_row: DataFrame, checks: Sequence[ChangeCheck], figures: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """One row per check from one wide row; ``figures``: more columns, with a text for each check."""
+    exact = _carrier(one_row, checks)
     rows = [
-        {"check_name": text(check.name), "current_value": f"cur_{i}", "previous_value": f"prev_{i}"}
+        {
+            "check_name": text(check.name),
+            "current_value": f"cast(cur_{i} as {exact})",
+            "previous_value": f"cast(prev_{i} as {exact})",
+            **{column: texts[i] for column, texts in (figures or {}).items()},
+        }
         for i, check in enumerate(checks)
     ]
     return one_row.selectExpr(inline(rows))
 
 
-def _totals(rollup: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame:
-    """Sum of the entity sums; one row per check, NULL where a side has no value at all.
+def _wide_totals(rollup: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame:
+    """Sum of the entity sums in the measures' own types; NULL where a side has no value at all.
 
     The presence flag is part of the sum so that this branch needs the same
     columns of the rollup as the drivers do and both read one exchange.
     """
-    exact = _carrier(rollup, checks)
-    sums = [
-        f"cast(sum({side}_{i}) filter (where hit_{i}) as {exact}) as {side}_{i}"
-        for i in range(len(checks))
-        for side in ("cur", "prev")
-    ]
-    return _per_check(aggregate(rollup, *sums), checks)
+    sums = [f"sum({side}_{i}) filter (where hit_{i}) as {side}_{i}" for i in range(len(checks)) for side in ("cur", "prev")]
+    return aggregate(rollup, *sums)
+
+
+def totals(rollup: DataFrame, checks: Sequence[ChangeCheck]) -> DataFrame:
+    """check_name, current_value, previous_value from an entity rollup."""
+    return _per_check(_wide_totals(rollup, checks), checks)
 
 
 def side_totals(
@@ -207,8 +228,7 @@ def side_totals(
 ) -> DataFrame:
     """Totals of both sides per check without the entity rollup: one scan per table, one row per task."""
     rows = _side_rows(tables, checks, as_of, {}, values=True)
-    exact = _carrier(rows, checks)
-    sums = [f"cast(sum({side}_{i}) as {exact}) as {side}_{i}" for i in range(len(checks)) for side in ("cur", "prev")]
+    sums = [f"sum({side}_{i}) as {side}_{i}" for i in range(len(checks)) for side in ("cur", "prev")]
     return _per_check(aggregate(rows, *sums), checks)
 
 
@@ -220,13 +240,15 @@ def _winners(rollup: DataFrame, checks: Sequence[ChangeCheck], n: int) -> DataFr
     double first, which is cheap to compare and never contradicts the exact
     decimal that follows it.
     """
-    order = "size desc, abs(delta) desc, entity asc nulls last, null_side"
+    gaps = _exact_gaps(rollup, checks)
+    ties = [f"case when check_no = {i} then gap_{i} end desc nulls last" for i in gaps] or ["abs(delta) desc"]
+    order = f"size desc, {', '.join(ties)}, entity asc nulls last, null_side"
     return (
-        _by_entity(rollup, checks, DELTA)
+        _by_entity(rollup.selectExpr("*", *[f"{gap} as gap_{i}" for i, gap in gaps.items()]), checks, DELTA)
         .selectExpr("*", "abs(cast(delta as double)) as size")
         .selectExpr("*", f"row_number() over (partition by check_no order by {order}) as rank")
         .where(f"rank <= {int(n)}")
-        .drop("size")
+        .select("entity", "null_side", "check_name", "check_no", "delta", "rank")
     )
 
 
@@ -311,29 +333,34 @@ def change_scorecard(
     label: str | None = None,
     n: int = 5,
     rounded: bool = False,
+    no_data: bool = False,
 ) -> DataFrame:
     """One row per check: both totals, difference, percent, status, and the ordered drivers.
 
-    ``rounded`` tests the figure as shown (two digits) instead of the exact one.
+    Every check is computed in its measure's own type, so what others measure has no influence on it; only the shown
+    figures share a type. ``rounded`` tests the figure as shown (two digits) instead of the exact one. With ``no_data`` a
+    check with a missing total has the status NO_DATA instead of OK.
     """
     rollup = entity_rollup(tables, checks, as_of, key)
     drivers = aggregate(
         _drivers(rollup, tables, checks, as_of, key, label, n).groupBy("check_name"),
         f"{ordered_array('rank', 'struct(entity, name, delta)')} as top_drivers",
     )
-    gap = "abs(current_value - previous_value)"
-
-    def by_check(values: Sequence[str]) -> str:
-        arms = [f"when {text(c.name)} then {value}" for c, value in zip(checks, values, strict=True)]
-        return "case check_name " + " ".join(arms) + " end"
-
-    return _totals(rollup, checks).join(drivers, "check_name", "left").selectExpr(
+    wide = _wide_totals(rollup, checks)
+    exact = _carrier(wide, checks)
+    numbers = range(len(checks))
+    gaps = [f"abs(cur_{i} - prev_{i})" for i in numbers]
+    missing = [f"(cur_{i} is null or prev_{i} is null)" if no_data else "false" for i in numbers]
+    figures = {
+        "alert_date": [day(as_of, c.current.lag) for c in checks],
+        "abs_difference": [f"cast(round({gap}, 2) as {exact})" for gap in gaps],
+        "change_pct": [percent(gap, f"prev_{i}") for i, gap in enumerate(gaps)],
+        "status": [status(c.breach(rounded, f"cur_{i}", f"prev_{i}"), missing[i]) for i, c in enumerate(checks)],
+    }
+    return _per_check(wide, checks, figures).join(drivers, "check_name", "left").selectExpr(
         "check_name",
         "current_value",
         "previous_value",
-        f"{by_check([day(as_of, c.current.lag) for c in checks])} as alert_date",
-        f"round({gap}, 2) as abs_difference",
-        f"{percent(gap, 'previous_value')} as change_pct",
-        f"{status(by_check([c.breach(rounded) for c in checks]))} as status",
+        *figures,
         "coalesce(top_drivers, array()) as top_drivers",
     )

@@ -7,11 +7,15 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from weirgauge.functions.expr import ALERT, struct
+from weirgauge.functions.expr import ALERT, NO_DATA, struct
 
 KEYS = ("alert_type", "issue_type", "source_table", "alert_date")
 METRICS = ("metric_1", "metric_2", "metric_3", "metric_4")
 RECORD = (*KEYS, *METRICS, "detail")
+#: Names and types of the alert record, for publishing.
+RECORD_SCHEMA = ", ".join(
+    [*(f"{c} string" for c in KEYS[:-1]), f"{KEYS[-1]} date", *(f"{c} double" for c in METRICS), "detail string"]
+)
 
 
 def detail(members: Mapping[str, str]) -> str:
@@ -39,9 +43,10 @@ def scorecard(*arms: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, arms)
 
 
-def alerts(card: DataFrame) -> DataFrame:
-    """The breached rows in the nine-column record."""
-    return card.where(f"status = '{ALERT}'").select(*RECORD)
+def alerts(card: DataFrame, no_data: bool = False) -> DataFrame:
+    """The breached rows in the nine-column record; with ``no_data`` also those that had nothing to compare with."""
+    wanted = f"status in ('{ALERT}', '{NO_DATA}')" if no_data else f"status = '{ALERT}'"
+    return card.where(wanted).select(*RECORD)
 
 
 def ordered_report(alert_rows: DataFrame) -> DataFrame:

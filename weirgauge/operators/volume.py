@@ -23,6 +23,7 @@ from weirgauge.functions.expr import (
     status,
     text,
 )
+from weirgauge.operators.presence import outages, zero_filled
 
 GAP = "abs(current_record_count - expected_record_count)"
 
@@ -87,14 +88,21 @@ def volume_scorecard(
     threshold: Decimal | str = "0.20",
     duplicates: DataFrame | None = None,
     rounded: bool = False,
+    expected: DataFrame | None = None,
+    zero_days: bool = False,
 ) -> DataFrame:
     """One row per table that has rows today and at least one earlier day in range.
 
     ``duplicates`` is the frame of ``duplicate_report``; with it every row
     carries the duplicate diagnostics and a likely cause. ``rounded`` tests the
-    deviation after rounding to two digits.
+    deviation after rounding to two digits. ``expected`` is a ``catalogue``:
+    with it, expected tables without rows today are reported as well; with
+    ``zero_days`` too, their days without rows count as zero in the average.
     """
-    base = trailing_baseline(daily_counts(tables, as_of, days), as_of, days)
+    counts = daily_counts(tables, as_of, days)
+    if expected is not None and zero_days:
+        counts = zero_filled(counts, expected, day(as_of, days), day(as_of))
+    base = trailing_baseline(counts, as_of, days)
     card = base.where("current_record_count is not null and baseline_days > 0").selectExpr(
         "source_table",
         f"{day(as_of)} as record_date",
@@ -103,6 +111,8 @@ def volume_scorecard(
         f"{percent(GAP, 'expected_record_count')} as deviation_pct",
         f"{status(_breach(threshold, rounded))} as status",
     )
+    if expected is not None and not zero_days:
+        card = card.unionByName(outages(counts, expected, as_of, days).select(*card.columns))
     if duplicates is None:
         return card
     return card.join(duplicates, "source_table", "left").selectExpr(
@@ -140,20 +150,24 @@ def volume_backfill(
     last: dt.date | str,
     days: int = 7,
     threshold: Decimal | str = "0.20",
+    expected: DataFrame | None = None,
 ) -> DataFrame:
     """The volume check for every day of a range in one pass.
 
     The trailing mean is a window over calendar distance, on frames that hold
     one row per table and day. A day without any earlier day in range keeps a
-    NULL expectation and never alerts.
+    NULL expectation and never alerts. With a catalogue of ``expected`` tables,
+    days without rows are there with a count of zero.
     """
     frame = (
         "(partition by source_table order by unix_date(record_date) "
         f"range between {days} preceding and 1 preceding)"
     )
+    counts = daily_counts(tables, last, days, first)
+    if expected is not None:
+        counts = zero_filled(counts, expected, day(first, days), day(last))
     return (
-        daily_counts(tables, last, days, first)
-        .selectExpr(
+        counts.selectExpr(
             "source_table",
             "record_date",
             "record_count as current_record_count",

@@ -18,6 +18,9 @@ from weirgauge.sources import read_table
 
 EVENT_DAY = "2024-01-15"
 ORDER_DAY = "1998-10-03"
+#: A day on which shipments go on and orders have ended; one after the last event; one before which nothing is expected.
+OUTAGE_DAY, SILENT_DAY, FAR_DAY = "2001-08-05", "2024-01-31", "2030-01-01"
+PUBLISHED_DAYS = ("2024-01-14", "2024-01-15", "2024-01-16", "2024-01-15")
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 

@@ -45,6 +45,41 @@ SALES_COUNTS = f"{_counts('orders', 'o_orderdate', ORDER_DAY)} union all {_count
 EVENT_COUNTS = _counts("events", "ts", EVENT_DAY)
 
 
+OUTAGE_DAY, SILENT_DAY = "date '2001-08-05'", "date '2024-01-31'"
+OUTAGE_COUNTS = f"{_counts('orders', 'o_orderdate', OUTAGE_DAY)} union all {_counts('lineitem', 'l_shipdate', OUTAGE_DAY)}"
+OUTAGES = f"""
+    select e.source_table, cast({OUTAGE_DAY} as varchar) as record_date, 0::bigint as current_record_count,
+           round(avg(c.record_count), 4) as expected_record_count,
+           case when count(c.record_count) > 0 then 100.0::double end as deviation_pct,
+           case when count(c.record_count) > 0 then 'ALERT' else 'NO_DATA' end as status,
+           cast(max(c.record_date) as varchar) as last_record_date, 'no rows on the day' as likely_cause
+    from (values ('orders'), ('lineitem'), ('returns')) e(source_table)
+         left join ({OUTAGE_COUNTS}) c on c.source_table = e.source_table
+    where e.source_table not in (select source_table from ({OUTAGE_COUNTS}) where record_date = {OUTAGE_DAY})
+    group by e.source_table"""
+
+
+def _dense(counts: str, tables: str, first: str, last: str) -> str:
+    """Counts with zero for the days of each table (name, first day) that have none."""
+    return f"""
+    select s.source_table, s.record_date, coalesce(c.record_count, 0) as record_count
+    from (select source_table, unnest(generate_series(greatest(since, {first}), {last}, interval 1 day))::date as record_date
+          from (values {tables}) e(source_table, since)) s
+         left join ({counts}) c on c.source_table = s.source_table and c.record_date = s.record_date"""
+
+
+_HISTORY = " union all ".join(
+    f"select '{table}' as source_table, {column}::date as record_date, count(*) as record_count from {table} group by all"
+    for table, column in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
+)
+_HISTORY_DENSE = _dense(
+    _HISTORY,
+    "('orders', date '1994-12-25'), ('lineitem', date '1996-01-10')",
+    "date '1994-12-25'",
+    "date '2001-12-31'",
+)
+
+
 def _groups(table: str, keys: str, where: str = "true") -> str:
     return f"select {keys}, count(*) as row_count from {table} where {where} group by {keys} having count(*) > 1"
 
@@ -486,7 +521,59 @@ _SINGLE_CHANGE = {
 }
 _SHOWN_BREACH = {V.END_BUCKET: "metric_3 > 10", V.EMPLOYEES: "metric_3 > 10", V.GROWTH: "metric_3 > 800000"}
 
+_DAY_VALUES = "select ts::date as d, sum(value::decimal(18,2))::double as v from events group by 1"
+
 ORACLES: dict[str, str] = {
+    "volume_outages": OUTAGES,
+    "volume_scorecard_expected": f"{_volume(OUTAGE_COUNTS, OUTAGE_DAY)} union all "
+    f"select source_table, record_date, current_record_count, expected_record_count, deviation_pct, status from ({OUTAGES})",
+    "volume_scorecard_zero_days": _volume(
+        _dense(
+            OUTAGE_COUNTS,
+            f"('orders', {OUTAGE_DAY} - 7), ('lineitem', {OUTAGE_DAY} - 7)",
+            f"{OUTAGE_DAY} - 7",
+            OUTAGE_DAY,
+        ),
+        OUTAGE_DAY,
+    ),
+    "volume_backfill_zero_days": f"""
+    select a.source_table, cast(a.record_date as varchar) as record_date, a.record_count as current_record_count,
+           round(avg(b.record_count), 4) as expected_record_count,
+           round(abs(a.record_count - avg(b.record_count)) / nullif(avg(b.record_count), 0) * 100, 2) as deviation_pct,
+           case when abs(a.record_count * count(b.record_count) - sum(b.record_count)) > 0.2 * sum(b.record_count)
+                     and sum(b.record_count) > 0
+                then 'ALERT' else 'OK' end as status
+    from ({_HISTORY_DENSE}) a left join ({_HISTORY_DENSE}) b on b.source_table = a.source_table
+         and b.record_date between a.record_date - 7 and a.record_date - 1
+    where a.record_date >= date '1995-01-01'
+    group by a.source_table, a.record_date, a.record_count""",
+    "change_mixed_measures": """
+    select 'fine' as check_name, 10.0::double as change_pct, 5::int as n_drivers, 'ALERT' as status where exists (from events)
+    union all select 'whole', 0.0, 5, 'OK' where exists (from events)
+    union all select 'broken', round(abs(sum(value) - sum(value / 2)) / sum(value / 2) * 100, 1), 5,
+                     case when sum(value) > 0 then 'ALERT' else 'OK' end from events""",
+    "change_no_data": f"""
+    select 'event_value' as check_name, null::double as current_value,
+           (select sum(value::decimal(18,2))::double from events where ts::date = {SILENT_DAY} - 1) as previous_value,
+           'NO_DATA' as status
+    union all select 'purchase_value', null, (select sum(value::decimal(18,2))::double from events
+                     where ts::date = {SILENT_DAY} - 1 and event_type = 'purchase'), 'NO_DATA'""",
+    "state_volume_baseline": f"select * replace (round(expected_record_count, 4) as expected_record_count) "
+    f"from ({_baseline(SALES_COUNTS, ORDER_DAY)})",
+    "state_entity_deltas": f"select check_name, entity, current_value::double as current_value, "
+    f"previous_value::double as previous_value, delta::double as delta from ({EVENT_SIDES})",
+    "published_history": f"""
+    select 'change' as alert_type, 'event_value' as issue_type, 'events' as source_table, cast(c.d as varchar) as alert_date,
+           c.v as metric_1, p.v as metric_2, round(abs(c.v - p.v) / p.v * 100, 2) as metric_3, null::double as metric_4,
+           '{{"check":"event_value"}}' as detail, cast(c.d as varchar) as record_date
+    from ({_DAY_VALUES}) c join ({_DAY_VALUES}) p on p.d = c.d - 1
+    where c.d between date '2024-01-14' and date '2024-01-16' and abs(c.v - p.v) / p.v > 0.02""",
+    "contract_on_write": """
+    with e as (select case when event_id % 7 <> 0 then event_type end as event_type from events)
+    select 'not_null' as rule, 'event_type' as column_name, count(*) as violations from e where event_type is null
+    union all select 'accepted_values', 'event_type', count(*) from e
+              where event_type not in ('click', 'purchase', 'signup', 'view')
+    union all select 'retired_value', 'event_type', count(*) from e where lower(event_type) like '%err%'""",
     "volume_daily_counts": f"select source_table, cast(record_date as varchar) as record_date, record_count "
     f"from ({SALES_COUNTS})",
     "volume_baseline": f"select * replace (round(expected_record_count, 4) as expected_record_count) "

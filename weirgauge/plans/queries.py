@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirgauge.functions.expr import OK, date_of, day, text
-from weirgauge.operators import change, contracts, coverage, duplicates, report, volume
+from weirgauge.functions.expr import OK, as_date, date_of, day, text
+from weirgauge.operators import change, contracts, coverage, duplicates, envelope, presence, report, volume
 from weirgauge.operators.envelope import METRICS
+from weirgauge.operators.state import DailyState
 from weirgauge.plans import bindings as B
 from weirgauge.plans import fixed_values as V
 from weirgauge.sources import publish, read_table
+from weirgauge.sources.daily import read_days, scratch, write_checked, write_day
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,6 +92,98 @@ def volume_backfill_sales(spark, sf_dir):
     return _shown(volume.volume_backfill(B.counted_sales(spark, sf_dir), "1995-01-01", "2001-12-31"))
 
 
+# -- expected tables and days ---------------------------------------------------
+
+
+def _expected(spark):
+    return presence.catalogue(spark, {"orders": None, "lineitem": None, "returns": None, "refunds": B.FAR_DAY})
+
+
+@query
+def volume_outages(spark, sf_dir):
+    """Expected tables without rows on a day: one that had some in the week before, one that never had any."""
+    counts = volume.daily_counts(B.counted_sales(spark, sf_dir), B.OUTAGE_DAY)
+    return _shown(presence.outages(counts, _expected(spark), B.OUTAGE_DAY))
+
+
+@query
+def volume_scorecard_expected(spark, sf_dir):
+    """The scorecard with a row for expected tables that are silent today."""
+    return _shown(volume.volume_scorecard(B.counted_sales(spark, sf_dir), B.OUTAGE_DAY, expected=_expected(spark)))
+
+
+@query
+def volume_scorecard_zero_days(spark, sf_dir):
+    """Days without rows count as zero, today and in the average."""
+    tables = B.counted_sales(spark, sf_dir)
+    expected = presence.catalogue(spark, dict.fromkeys(tables))
+    return _shown(volume.volume_scorecard(tables, B.OUTAGE_DAY, expected=expected, zero_days=True))
+
+
+@query
+def volume_backfill_zero_days(spark, sf_dir):
+    """The check for every day of the history, with zero for the days without rows."""
+    tables = B.counted_sales(spark, sf_dir)
+    expected = presence.catalogue(spark, {"orders": None, "lineitem": "1996-01-10"})
+    return _shown(volume.volume_backfill(tables, "1995-01-01", "2001-12-31", expected=expected))
+
+
+# -- kept by day -----------------------------------------------------------------
+
+
+@query
+def state_volume_baseline(spark, sf_dir):
+    """Trailing mean from counts that were kept day by day, one of them twice."""
+    state = DailyState(spark, scratch(spark, "state"))
+    last = as_date(B.ORDER_DAY)
+    for lag in (7, 6, 5, 4, 3, 2, 1, 0, 3):
+        state.update_counts(B.counted_sales(spark, sf_dir), last - dt.timedelta(days=lag))
+    return _shown(volume.trailing_baseline(state.counts(last), last))
+
+
+@query
+def state_entity_deltas(spark, sf_dir):
+    """Changes by user from two kept days, the second of them written again."""
+    checks, state = [B.EVENT_CHANGE, B.PURCHASE_CHANGE], DailyState(spark, scratch(spark, "state"))
+    last = as_date(B.EVENT_DAY)
+    for lag in (1, 0, 0):
+        state.update_entities(B.pinned_events(spark, sf_dir), checks, last - dt.timedelta(days=lag), "user_id")
+    return change.entity_deltas(state.entity_rollup(checks, last), checks).select(
+        "check_name", "entity", "current_value", "previous_value", "delta"
+    )
+
+
+@query
+def published_history(spark, sf_dir):
+    """Alerts of three days in one table, the second published twice; read back with their day."""
+    path = scratch(spark, "alerts")
+    check = change.ChangeCheck(
+        "event_value", change.Side("events"), change.Side("events", 1), "amount", "0.02"
+    )
+    for as_of in B.PUBLISHED_DAYS:
+        card = change.change_scorecard(B.pinned_events(spark, sf_dir), [check], as_of, "user_id")
+        record = envelope.envelope(
+            card,
+            ("'change'", "check_name", "'events'", "alert_date"),
+            ("cast(current_value as double)", "cast(previous_value as double)", "change_pct"),
+            envelope.detail({"check": "check_name"}),
+        )
+        write_day(envelope.alerts(record), path, as_of, envelope.RECORD_SCHEMA)
+    return read_days(spark, path)
+
+
+@query
+def contract_on_write(spark, sf_dir):
+    """Violations counted on the rows while they are written."""
+    rows = B.events(spark, sf_dir).selectExpr("event_id", "case when event_id % 7 <> 0 then event_type end as event_type")
+    rules = [
+        contracts.not_null("event_type"),
+        contracts.accepted_values("event_type", [t for t in B.EVENT_TYPES if t != "error"]),
+        contracts.retired_value("event_type", "ERR"),
+    ]
+    return write_checked(rows, scratch(spark, "checked"), B.EVENT_DAY, rules, "event_id bigint, event_type string")
+
+
 # -- duplicates -----------------------------------------------------------------
 
 ON_EVENT_DAY = f"{date_of('ts')} = {day(B.EVENT_DAY)}"
@@ -189,6 +284,40 @@ def change_double_measure(spark, sf_dir):
     )
 
 
+@query
+def change_mixed_measures(spark, sf_dir):
+    """Checks of different types together, each tested in its own: decimals of seventeen digits, whole numbers beyond 32
+    digits, and doubles."""
+    rows = B.events(spark, sf_dir).selectExpr(
+        "ts",
+        "user_id",
+        f"cast(if(event_id = 0, 11000000000000000.01, if({ON_EVENT_DAY}, 0, 0)) as decimal(20,2)) as fine",
+        "cast(1e30 as decimal(38,0)) as whole",
+        "value as broken",
+    )
+    today = rows.selectExpr("cast(timestamp_ntz '2024-03-02 00:00:00' as timestamp_ntz) as ts", "user_id", "fine", "whole", "broken")
+    before = rows.selectExpr(
+        "cast(timestamp_ntz '2024-03-01 00:00:00' as timestamp_ntz) as ts",
+        "user_id",
+        "cast(if(fine > 0, 10000000000000000.00, 0) as decimal(20,2)) as fine",
+        "whole",
+        "broken / 2 as broken",
+    )
+    sides = (change.Side("t"), change.Side("t", 1))
+    checks = [change.ChangeCheck(c, *sides, c, "0.1") for c in ("fine", "whole", "broken")]
+    tables = {"t": change.PinnedTable(today.unionByName(before), ("ts",))}
+    card = change.change_scorecard(tables, checks, "2024-03-02", "user_id")
+    return card.selectExpr("check_name", "round(change_pct, 1) as change_pct", "size(top_drivers) as n_drivers", "status")
+
+
+@query
+def change_no_data(spark, sf_dir):
+    """A day after the last event: no total to compare, which is told from OK."""
+    checks = [B.EVENT_CHANGE, B.PURCHASE_CHANGE]
+    card = change.change_scorecard(B.pinned_events(spark, sf_dir), checks, B.SILENT_DAY, "user_id", no_data=True)
+    return card.select("check_name", "current_value", "previous_value", "status")
+
+
 @query
 def abs_change(spark, sf_dir):
     """Absolute test; a day without rows gives missing totals and no alert."""
