@@ -166,8 +166,14 @@ def derived_buckets(rows: DataFrame) -> DataFrame:
     )
 
 
-def revenue_monitor(spark: SparkSession, sf_dir: str, as_of: str = EVENT_DAY, **options) -> RevenueMonitor:
-    rows = events(spark, sf_dir)
+#: A load that stopped at noon of the day.
+HALF_DAY = f"cast(ts as date) <> date '{EVENT_DAY}' or hour(ts) < 12"
+
+
+def revenue_monitor(
+    spark: SparkSession, sf_dir: str, as_of: str = EVENT_DAY, loaded: str = "true", **options
+) -> RevenueMonitor:
+    rows = events(spark, sf_dir).where(loaded)
     return RevenueMonitor(
         daily=derived_daily(rows),
         snapshot=derived_snapshot(rows),

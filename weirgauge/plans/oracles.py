@@ -521,6 +521,55 @@ _SINGLE_CHANGE = {
 }
 _SHOWN_BREACH = {V.END_BUCKET: "metric_3 > 10", V.EMPLOYEES: "metric_3 > 10", V.GROWTH: "metric_3 > 800000"}
 
+# Members of the detail lists of every check, or of the alerts only.
+_KEY_MEMBERS = " union all ".join(
+    f"select '{label}' as source_table, rank, company_id, row_count "
+    f"from ({_worst(_monitor_groups(label), _T_TABLES[label][2])})"
+    for label in _T_TABLES
+)
+
+
+def _list_members(where: str) -> str:
+    return f"""{MONITOR_CARD}, key_members as ({_KEY_MEMBERS}), wanted as (select * from card where {where})
+    select issue_type, 'sample_missing_companies' as member, rank::int as rank, company_id::varchar as company_id,
+           null::varchar as account_name, null::double as delta, null::bigint as row_count
+    from wanted join sample on check_name = issue_type where alert_type = 'missing_usage_data'
+    union all
+    select issue_type, 'top_drivers', rank::int, entity::varchar, name, delta::double, null
+    from wanted join drivers on check_name = issue_type where alert_type not in ('missing_usage_data', 'volume_anomaly')
+    union all
+    select issue_type, 'top_duplicate_keys', rank::int, k.company_id::varchar, null, null, row_count
+    from wanted join key_members k using (source_table)
+    where alert_type = 'volume_anomaly' and issue_type <> 'volume_anomaly_mrt_wtfl_unpivot'"""
+
+
+_WHOLE_LOAD = "    from events),\nt_daily"
+_HALF_LOAD = f"    from events where ts::date <> {EVENT_DAY} or hour(ts) < 12),\nt_daily"
+
+
+def _half_day(sql: str) -> str:
+    """The same over a load that stopped at noon of the day."""
+    if _WHOLE_LOAD not in sql:
+        raise ValueError("the derived tables have another source")
+    return sql.replace(_WHOLE_LOAD, _HALF_LOAD)
+
+
+MONITOR_CONSTANTS = f"""{MONITOR_CARD}, rows as (
+select issue_type, unnest(['coverage_pct', 'table', 'source_table']) as member,
+       unnest([metric_3::double::varchar, '{V.DATABASE}.{V.USAGE}', source_table]) as content
+from card where alert_type = 'missing_usage_data'
+union all
+select issue_type, unnest(['expected_record_count', 'deviation_pct', 'source_table', 'field']),
+       unnest([round(base.expected_record_count, 2)::varchar, metric_3::double::varchar, source_table, 'all rows'])
+from card join base using (source_table)
+where alert_type = 'volume_anomaly' and issue_type <> 'volume_anomaly_mrt_wtfl_unpivot'
+union all
+select issue_type, unnest(['expected_record_count', 'deviation_pct', 'diff_record', 'source_table', 'status']),
+       unnest([metric_2::double::varchar, metric_3::double::varchar,
+               round(current_record_count - base.expected_record_count, 2)::varchar, source_table, status])
+from card join base using (source_table) where issue_type = 'volume_anomaly_mrt_wtfl_unpivot')
+select * from rows where content is not null"""
+
 _DAY_VALUES = "select ts::date as d, sum(value::decimal(18,2))::double as v from events group by 1"
 
 ORACLES: dict[str, str] = {
@@ -675,11 +724,19 @@ ORACLES: dict[str, str] = {
                 then least(5, (select duplicate_key_groups from dups where dups.source_table = card.source_table))
                 else 0 end::int as n_top_duplicate_keys
     from card where status = 'ALERT' order by alert_type, issue_type""",
-    "monitor_contract": """
-    select 'not_null' as rule, 'alert_type' as column_name, 0::bigint as violations
-    union all select 'accepted_values', 'alert_type', 0 union all select 'retired_value', 'issue_type', 0""",
+    "monitor_contract": f"""{MONITOR_CARD}, fired as (select * from card where status = 'ALERT')
+    select 'not_null' as rule, 'alert_type' as column_name, count(*) filter (alert_type is null) as violations from fired
+    union all select 'accepted_values', 'alert_type',
+                     count(*) filter (alert_type not in ({", ".join(f"'{t}'" for t in V.ALERT_TYPES)})) from fired
+    union all select 'retired_value', 'issue_type',
+                     count(*) filter (lower(issue_type) like '%' || lower('{V.RETIRED_ISSUE}') || '%') from fired""",
     "monitor_drivers": f"{MONITOR_CARD} select check_name, rank, entity, name, delta::double as delta from drivers",
     "monitor_detail": MONITOR_DETAIL,
+    "monitor_detail_lists": _list_members("true"),
+    "monitor_detail_constants": MONITOR_CONSTANTS,
+    "monitor_volume_alerts": _half_day(f"{MONITOR_CARD} select * exclude (status) from card where status = 'ALERT'"),
+    "monitor_volume_report": _half_day(_list_members("status = 'ALERT'")),
+    "monitor_volume_messages": _half_day(MONITOR_MESSAGES),
     "monitor_duplicates": f"{DERIVED} {_DUPLICATES}",
     "monitor_duplicates_by_bucket": f"{DERIVED} select s.*, w.rank, w.company_id, w.bucket_name, w.row_count "
     f"from ({_stats(_BUCKET_GROUPS)}) s left join ({_worst(_BUCKET_GROUPS, 'company_id, bucket_name, date_id')}) w on true",

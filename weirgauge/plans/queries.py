@@ -507,6 +507,63 @@ def monitor_detail(spark, sf_dir):
     return parsed.selectExpr("issue_type", f"inline(array({pairs}))").where("content is not null")
 
 
+def _list_rows(card):
+    """Members of the lists in the JSON detail, as rows in their order."""
+    lists = ("sample_missing_companies", "top_drivers", "top_duplicate_keys")
+    parsed = [f"from_json(get_json_object(detail, '$.{m}'), 'array<map<string,string>>') as {m}" for m in lists]
+    packed = ", ".join(f"transform({m}, (x, i) -> struct('{m}' as member, i + 1 as rank, x as item))" for m in lists)
+    rows = card.selectExpr("issue_type", *parsed).selectExpr("issue_type", f"inline(flatten(array_compact(array({packed}))))")
+    deltas = "map_values(map_filter(item, (k, v) -> startswith(k, 'delta_')))"
+    return rows.selectExpr(
+        "issue_type",
+        "member",
+        "rank",
+        "item['company_id'] as company_id",
+        "item['account_name'] as account_name",
+        f"cast(get({deltas}, 0) as double) as delta",
+        "cast(item['row_count'] as bigint) as row_count",
+    )
+
+
+@query
+def monitor_detail_lists(spark, sf_dir):
+    """Members of the sample, driver and key lists of every check."""
+    return _list_rows(B.revenue_monitor(spark, sf_dir).scorecard())
+
+
+@query
+def monitor_detail_constants(spark, sf_dir):
+    """Percentages and fixed members of the JSON detail, as rows of text."""
+    card = B.revenue_monitor(spark, sf_dir, detail_constants={V.VOLUME: {"field": "all rows"}}).scorecard()
+    members = ("coverage_pct", "expected_record_count", "deviation_pct", "diff_record", "table", "source_table", "field", "status")
+    pairs = ", ".join(f"struct('{m}' as member, get_json_object(detail, '$.{m}') as content)" for m in members)
+    figures = "('coverage_pct', 'expected_record_count', 'deviation_pct', 'diff_record')"
+    rows = card.selectExpr("issue_type", f"inline(array({pairs}))").where("content is not null")
+    return rows.selectExpr(
+        "issue_type",
+        "member",
+        f"case when member in {figures} then cast(round(cast(content as double), 2) as string) else content end as content",
+    ).where("issue_type not in ('end_bucket_change', 'core_employee_count_change', 'natural_growth_change')")
+
+
+@query
+def monitor_volume_alerts(spark, sf_dir):
+    """The alert union after a load that stopped at noon: the volume arms fire."""
+    return _rounded(B.revenue_monitor(spark, sf_dir, loaded=B.HALF_DAY).alerts())
+
+
+@query
+def monitor_volume_report(spark, sf_dir):
+    """The list members of the alerts of that day."""
+    return _list_rows(B.revenue_monitor(spark, sf_dir, loaded=B.HALF_DAY).alerts())
+
+
+@query
+def monitor_volume_messages(spark, sf_dir):
+    """Messages of that day, among them both volume templates."""
+    return B.revenue_monitor(spark, sf_dir, loaded=B.HALF_DAY).messages()
+
+
 @query
 def monitor_duplicates(spark, sf_dir):
     """Duplicate diagnostics of the four tables, worst keys as rows."""
