@@ -8,7 +8,8 @@ from fixture_tables import D, ago
 
 from weirgauge.operators import change, contracts, envelope, presence, volume
 from weirgauge.operators.state import DailyState
-from weirgauge.sources.daily import read_days, schema_differences, scratch, write_checked, write_day
+from weirgauge.sources.daily import read_days, read_text_days, schema_differences, scratch, write_checked, write_day, write_text_day
+from weirgauge.sources.statistics import statistics
 
 
 def counted(spark, per_day):
@@ -144,3 +145,34 @@ def test_large_double_differences_do_not_fail_the_detail(spark):
 
     got = spark.sql(f"select {plain('1e37d')} as huge, {plain('1.005d')} as small").first()
     assert got.huge is None and got.small in (Decimal("1.00"), Decimal("1.01"))
+
+
+def test_texts_by_day(spark):
+    path = scratch(spark, "texts")
+    frame = lambda *x: spark.createDataFrame([(t,) for t in x], "message string")
+    write_text_day(frame("one\nline two", "gone"), "message", path, D)
+    write_text_day(frame("one\n\n\nline two"), "message", path, D)
+    write_text_day(frame("before"), "message", path, ago(1))
+    assert {tuple(r) for r in read_text_days(spark, path).collect()} == {(D, "one\nline two"), (ago(1), "before")}
+    assert [r.value for r in read_text_days(spark, path, last=ago(1)).collect()] == ["before"]
+    write_text_day(frame(), "message", path, ago(1))
+    assert [r.record_date for r in read_text_days(spark, path).collect()] == [D]
+    frame("half a day").write.text(f"{path}/record_date={ago(2)}")  # a run that was cut off
+    assert [r.record_date for r in read_text_days(spark, path).collect()] == [D]
+
+
+def test_counts_come_from_footers(spark):
+    path = scratch(spark, "counted")
+    spark.createDataFrame([(i, ago(i % 3)) for i in range(90)], "n long, d date").write.partitionBy("d").parquet(path)
+    made = statistics(spark, path, "d", ago(1), D, ["n"])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(n), MAX(n)]" in plan and "PushedGroupBy: [d]" in plan
+    assert {tuple(r) for r in made.collect()} == {(ago(0), 30, 0, 87), (ago(1), 30, 1, 88)}
+
+
+def test_null_members_of_a_variant(spark):
+    rows = spark.createDataFrame([(1, None)], "a long, b string")
+    for keep, want in ((False, False), (True, True)):
+        record = rows.selectExpr(f"{envelope.detail({'a': 'a', 'b': 'b'}, keep)} as detail")
+        got = envelope.with_variant(record).selectExpr("variant_get(detail, '$.a', 'bigint') as a", "is_variant_null(variant_get(detail, '$.b', 'variant')) as n").first()
+        assert got.a == 1 and bool(got.n) is want

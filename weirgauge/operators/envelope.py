@@ -18,9 +18,15 @@ RECORD_SCHEMA = ", ".join(
 )
 
 
-def detail(members: Mapping[str, str]) -> str:
-    """JSON object of the given members (SQL text); NULL members are left out."""
-    return f"to_json({struct(members)})"
+def detail(members: Mapping[str, str], null_members: bool = False) -> str:
+    """JSON object of the given members (SQL text); NULL members are left out, or kept as null."""
+    options = ", map('ignoreNullFields', 'false')" if null_members else ""
+    return f"to_json({struct(members)}{options})"
+
+
+def with_variant(record: DataFrame) -> DataFrame:
+    """The record with its detail as a variant, whose members can be reached without a schema."""
+    return record.selectExpr(*[c for c in record.columns if c != "detail"], "parse_json(detail) as detail")
 
 
 def envelope(card: DataFrame, keys: Sequence[str], metrics: Sequence[str], payload: str) -> DataFrame:

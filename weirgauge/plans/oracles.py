@@ -734,6 +734,24 @@ ORACLES: dict[str, str] = {
     "monitor_detail": MONITOR_DETAIL,
     "monitor_detail_lists": _list_members("true"),
     "monitor_detail_constants": MONITOR_CONSTANTS,
+    "monitor_variant": f"""{MONITOR_CARD}, key_members as ({_KEY_MEMBERS})
+    select issue_type,
+           case when alert_type in ('missing_usage_data', 'volume_anomaly') then metric_1::bigint end as n,
+           case alert_type when 'missing_usage_data' then 'active_employees' when 'end_bucket_change' then 'end_budget_usd'
+                when 'core_employee_count_change' then 'number_of_employees'
+                when 'natural_growth_change' then 'natural_growth_budget_usd' end as measure_field,
+           case when alert_type = 'missing_usage_data' then (select count(*) from sample where check_name = issue_type)
+                when issue_type = 'volume_anomaly_mrt_wtfl_unpivot' then 0
+                when alert_type = 'volume_anomaly'
+                then (select count(*) from key_members k where k.source_table = card.source_table)
+                else (select count(*) from drivers where check_name = issue_type) end::int as listed,
+           false as null_field
+    from card""",
+    "messages_by_day": f"select '2024-01-15' as record_date, message from ({MONITOR_MESSAGES})",
+    "volume_counts_from_statistics": """
+    select cast(ts::date as varchar) as event_day, count(*) as record_count, min(event_id) as min_event_id,
+           max(event_id) as max_event_id
+    from events where ts::date between date '2024-01-08' and date '2024-01-15' group by 1""",
     "monitor_volume_alerts": _half_day(f"{MONITOR_CARD} select * exclude (status) from card where status = 'ALERT'"),
     "monitor_volume_report": _half_day(_list_members("status = 'ALERT'")),
     "monitor_volume_messages": _half_day(MONITOR_MESSAGES),

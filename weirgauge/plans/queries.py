@@ -15,7 +15,8 @@ from weirgauge.operators.state import DailyState
 from weirgauge.plans import bindings as B
 from weirgauge.plans import fixed_values as V
 from weirgauge.sources import publish, read_table
-from weirgauge.sources.daily import read_days, scratch, write_checked, write_day
+from weirgauge.sources.daily import read_days, read_text_days, scratch, write_checked, write_day, write_text_day
+from weirgauge.sources.statistics import statistics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -546,6 +547,43 @@ def monitor_detail_constants(spark, sf_dir):
     ).where("issue_type not in ('end_bucket_change', 'core_employee_count_change', 'natural_growth_change')")
 
 
+@query
+def monitor_variant(spark, sf_dir):
+    """Members of the details as variants: a number, a text, the length of a list, and whether a member is null."""
+    card = B.revenue_monitor(spark, sf_dir, null_members=True).scorecard()
+    numbers = ("total_eligible_companies", "current_record_count")
+    lists = ("sample_missing_companies", "top_drivers", "top_duplicate_keys")
+    number_of = ", ".join(f"try_variant_get(detail, '$.{m}', 'bigint')" for m in numbers)
+    length_of = ", ".join(f"size(try_variant_get(detail, '$.{m}', 'array<variant>'))" for m in lists)
+    return envelope.with_variant(card).selectExpr(
+        "issue_type",
+        f"coalesce({number_of}) as n",
+        "try_variant_get(detail, '$.measure_field', 'string') as measure_field",
+        f"coalesce({length_of}, 0) as listed",
+        "coalesce(is_variant_null(try_variant_get(detail, '$.top_duplicate_keys[0].field', 'variant')), false) as null_field",
+    )
+
+
+@query
+def messages_by_day(spark, sf_dir):
+    """Messages as text files by day, one day written twice, read back for that day."""
+    path = scratch(spark, "messages")
+    messages = B.revenue_monitor(spark, sf_dir).messages()
+    write_text_day(messages.limit(1), "message", path, B.PUBLISHED_DAYS[0])
+    for _ in range(2):
+        write_text_day(messages, "message", path, B.EVENT_DAY)
+    return read_text_days(spark, path, B.EVENT_DAY, B.EVENT_DAY).withColumnRenamed("value", "message")
+
+
+@query
+def volume_counts_from_statistics(spark, sf_dir):
+    """Daily counts and extremes of events partitioned by day, from the files' footers."""
+    path = scratch(spark, "events")
+    rows = read_table(spark, "events", sf_dir).selectExpr("event_id", "user_id", "cast(ts as date) as event_day")
+    rows.repartition("event_day").write.partitionBy("event_day").parquet(path)
+    return statistics(spark, path, "event_day", "2024-01-08", "2024-01-15", ["event_id"])
+
+
 @query
 def monitor_volume_alerts(spark, sf_dir):
     """The alert union after a load that stopped at noon: the volume arms fire."""

@@ -126,7 +126,7 @@ class RevenueMonitor:
 
     ``dedupe=False`` repeats an entity in the missing sample once per product
     row. ``detail_constants`` adds fixed members to the detail of an alert or
-    issue type.
+    issue type. ``null_members`` keeps members that are NULL in the detail.
     """
 
     daily: DataFrame
@@ -137,6 +137,7 @@ class RevenueMonitor:
     bucket_keys: Sequence[str] = V.BUCKET_KEYS
     dedupe: bool = True
     detail_constants: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    null_members: bool = False
 
     @classmethod
     def read(
@@ -193,7 +194,7 @@ class RevenueMonitor:
 
     def _detail(self, issue: str, members: Mapping[str, str]) -> str:
         extra = {member: text(value) for member, value in self.detail_constants.get(issue, {}).items()}
-        return env.detail({**members, **extra})
+        return env.detail({**members, **extra}, self.null_members)
 
     @staticmethod
     def _coverage_members() -> dict[str, str]:

@@ -71,3 +71,25 @@ def write_checked(df: DataFrame, path: str, as_of: dt.date | str, rules: Sequenc
             ]
         )
     )
+
+
+#: Between two texts of a day's file.
+TEXT_END = "\n\n"
+
+
+def write_text_day(df: DataFrame, column: str, path: str, as_of: dt.date | str) -> None:
+    """The day's texts as text files, in place of those that the day had; blank lines within a text are left out.
+
+    The day is entered under ``<path>-complete`` when its files are there, so that readers never see half a day.
+    """
+    on = as_date(as_of)
+    rows = df.select(F.regexp_replace(column, "\n{2,}", "\n").alias("value"))
+    rows.write.mode("overwrite").text(f"{path.rstrip('/')}/{DAY}={on}", lineSep=TEXT_END)
+    df.sparkSession.range(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}-complete/{DAY}={on}")
+
+
+def read_text_days(spark: SparkSession, path: str, first: dt.date | str | None = None, last: dt.date | str | None = None) -> DataFrame:
+    """record_date and value: the texts of the complete days from ``first`` to ``last``."""
+    complete = read_days(spark, f"{path.rstrip('/')}-complete", first, last).select(DAY)
+    rows = spark.read.text(path, lineSep=TEXT_END).select(F.col(DAY).cast("date").alias(DAY), "value")
+    return rows.join(F.broadcast(complete), DAY, "left_semi")  # a row per day
