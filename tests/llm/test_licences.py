@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,6 +23,24 @@ def rows():
             i += 3
     made[2000] = ("Licensed under CC BY-NC 4.0.\nReleased under the MIT License.", ["CC-BY-NC-4.0", "MIT"])
     made[2001] = ("You need a license to drive under the general terms.", [])
+    gpl = licences.TEXTS["GPL-3.0"][1] + ", or (at your option) any later version."
+    wrap = lambda text, mark, n=70: "\n".join(mark + line for line in textwrap.wrap(text, n))
+    made[2100] = (wrap("This program is free software: " + gpl, ""), ["GPL-3.0"])
+    made[2101] = (f"{prose(30)}\n\n{wrap('This program is free software; ' + gpl.replace('version 3', 'version 2'), '# ')}\n#\n# {prose(9)}", ["GPL-2.0"])
+    made[2102] = (wrap(licences.TEXTS["BSD-3-Clause"][1], " * ") + f"\n *\n * {prose(12)}", ["BSD-3-Clause"])
+    made[2103] = (wrap(licences.TEXTS["ISC"][1], "// ", 40), ["ISC"])
+    for i, (text, family) in enumerate(
+        [
+            ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+            ("GNU Lesser General Public License, version 3.", None),
+            ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+            ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"),
+            ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0"),
+            ("Licensed under CC BY-NC 3.0.", None),
+            ("Licensed under the Apache License, Version 1.1.", None),
+        ]
+    ):
+        made[2200 + i] = (f"{prose(12)}\n{text}\n{prose(5)}", [family] if family else [])
     made[2002] = (None, [])
     made[2003] = ("", [])
     made[2004] = ("word " * 20000, [])

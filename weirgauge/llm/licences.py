@@ -1,11 +1,11 @@
 """Licence statements in documents, by DataFrame and SQL functions only.
 
-A paragraph (a line, or overlapping windows of a long one) is classified by a multinomial logistic regression over the
+A paragraph (a line, or neighbouring lines up to a blank one; overlapping windows of a long one) is classified by a multinomial logistic regression over the
 presence of word 1- and 2-grams of known licence texts; one more class is for everything else. It is trained on altered
 licence texts (words left out), on fragments that are too short to name a licence, and on ``SAMPLE_DOCS`` documents of
 the corpus. A part of these rows calibrates the probabilities (one temperature) and the level below which a paragraph
-counts as unknown. A prediction holds only if the paragraph contains at least ``CONFIRM`` of the word 3-grams of one of
-the family's texts; so documents without any such 3-gram need no classification, which is exact and spares the work.
+counts as unknown. A family with some share of the probability holds only if the paragraph contains at least ``CONFIRM`` of the
+word 3-grams of one of its texts and all word pairs that tell that text from others (names, versions); so documents without any such 3-gram need no classification, which is exact and spares the work.
 
 Scoring is one pass over the documents without a shuffle; the model is a few hundred numbers in the plan. A null or
 empty text has no paragraphs. Rows that repeat an id are scanned each; other columns are ignored; an empty table gives
@@ -39,7 +39,23 @@ TEXTS = {
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
-        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
+    ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License",
+    ),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License",
+    ),
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License",
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License",
     ),
     "BSD-3-Clause": (
         "Licensed under the BSD 3-Clause License.",
@@ -50,6 +66,20 @@ TEXTS = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "CC-BY-NC-ND-4.0": (
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ),
+    "CC-BY-NC-SA-4.0": (
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ),
+    "CC-BY-ND-4.0": ("Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    "BSD-2-Clause": ("Licensed under the BSD 2-Clause License.",),
+    "ISC": (
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    ),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
 }
@@ -61,6 +91,11 @@ VARIANTS, SAMPLE_DOCS = 24, 200
 WINDOW = 48
 CONFIRM = 0.6
 LEAST_LEVEL = 0.5
+#: A family is held against its texts if it has this share of the probability in a paragraph that names some licence.
+LEAST_SHARE = 0.05
+#: Words that tell licences apart, as do all with a digit; and words that say nothing beside one.
+MARKS = {"affero", "apache", "attribution", "bsd", "by", "cc", "clause", "gnu", "isc", "lesser", "mit", "mozilla", "nc", "nd", "noderivatives", "noncommercial", "sa", "sharealike"}
+SILENT = {"a", "as", "either", "of", "published", "the", "this", "under"}
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -97,15 +132,16 @@ def features(found: Column) -> Column:
 
 
 def windows(text: Column) -> Column:
-    """Words of each paragraph of a text."""
-    lines = F.transform(F.split(text, r"[\r\n]+"), words)
+    """Words of each paragraph of a text: of each line, and of the lines up to a blank one (or one of signs) together."""
     half = WINDOW // 2
 
     def cut(line: Column) -> Column:
         last = F.greatest(F.ceil((F.size(line) - half) / F.lit(half)).cast("int") - 1, F.lit(0))
         return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(line, i * half + 1, F.lit(WINDOW)))
 
-    return F.filter(F.flatten(F.transform(lines, cut)), lambda w: F.size(w) > 0)
+    blocks = F.filter(F.split(text, r"\r?\n[^\p{L}\p{N}\r\n]*\r?\n"), lambda b: F.contains(b, F.lit("\n")))
+    parts = F.transform(F.concat(F.split(text, r"[\r\n]+"), blocks), words)
+    return F.filter(F.flatten(F.transform(parts, cut)), lambda w: F.size(w) > 0)
 
 
 @dataclass
@@ -151,13 +187,25 @@ def training_rows(docs: DataFrame, seed: int = 0) -> DataFrame:
     return altered.where("size(w) > 0").unionByName(plain)
 
 
-def _threes(spark: SparkSession) -> list[list[list[str]]]:
-    """Word 3-grams of each text of each family."""
+def _grams(spark: SparkSession, n: int) -> list[list[list[str]]]:
+    """Word n-grams of each text of each family."""
     rows = spark.createDataFrame([(i, j, t) for i, f in enumerate(FAMILIES) for j, t in enumerate(TEXTS[f])], "f int, j int, text string")
-    made = {(r.f, r.j): r.g for r in rows.select("f", "j", F.array_distinct(grams(words(F.col("text")), 3)).alias("g")).collect()}
+    made = {(r.f, r.j): r.g for r in rows.select("f", "j", F.array_distinct(grams(words(F.col("text")), n)).alias("g")).collect()}
     return [[made[i, j] for j in range(len(TEXTS[f]))] for i, f in enumerate(FAMILIES)]
 
 
+def _threes(spark: SparkSession) -> list[list[list[str]]]:
+    return _grams(spark, 3)
+
+
+def _telling(spark: SparkSession) -> list[list[list[str]]]:
+    """Word pairs of each text that tell it from others: with a number or one of MARKS, without a silent word."""
+
+    def tells(pair: str) -> bool:
+        both = pair.split(" ")
+        return not SILENT.intersection(both) and any(w in MARKS or any(map(str.isdigit, w)) for w in both)
+
+    return [[[p for p in pairs if tells(p)] for pairs in texts] for texts in _grams(spark, 2)]
 
 
 def fit(docs: DataFrame, seed: int = 0) -> Model:
@@ -177,7 +225,7 @@ def fit(docs: DataFrame, seed: int = 0) -> Model:
     found = held.agg(*loss).first()
     best = min(choices, key=lambda t: found[list(choices).index(t)] if found[0] is not None else abs(math.log(t)))
     model.temperature = best
-    top = F.array_max(F.slice(model.probabilities(F.col("w")), 1, UNKNOWN))
+    top = 1 - F.get(model.probabilities(F.col("w")), F.lit(UNKNOWN))
     level = held.where(F.col("label") == UNKNOWN).agg(F.percentile(top, F.lit(0.99)).alias("p")).first().p
     model.level = min(max(LEAST_LEVEL, level or 0.0), 0.9)
     return model
@@ -185,33 +233,42 @@ def fit(docs: DataFrame, seed: int = 0) -> Model:
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, families (confirmed, by name), family (the surest, else null), score (its probability, else 0),
-    paragraphs (confirmed), unconfirmed (paragraphs that a family was predicted for, without a text that confirms it)."""
-    listed = _threes(docs.sparkSession)
+    paragraphs (confirmed), unconfirmed (paragraphs that a licence was predicted for, without a text that confirms it)."""
+    listed, telling = _threes(docs.sparkSession), _telling(docs.sparkSession)
     three = _strings(sorted({g for f in listed for t in f for g in t}))
-    by_family = _constant(listed, "array<array<array<string>>>")
+    both = [[{"three": t, "pairs": p} for t, p in zip(*own, strict=True)] for own in zip(listed, telling, strict=True)]
+    by_family = _constant(both, "array<array<struct<three: array<string>, pairs: array<string>>>>")
 
     def judged(w: Column) -> Column:
-        best = lambda p: F.struct(w.alias("w"), F.array_max(p).alias("score"), (F.array_position(p, F.array_max(p)).cast("int") - 1).alias("family"))
-        return _let(F.slice(model.probabilities(w), 1, UNKNOWN), best)
+        return _let(model.probabilities(w), lambda p: F.struct(w.alias("w"), p.alias("p"), (1 - F.get(p, F.lit(UNKNOWN))).alias("some")))
 
     def confirmed(x: Column) -> Column:
-        held = lambda own: F.exists(F.get(by_family, x["family"]), lambda t: F.size(F.array_intersect(own, t)) >= F.lit(CONFIRM) * F.size(t))
-        return _let(grams(x["w"], 3), held)
+        """The families of the paragraph that one of their texts confirms, with their probabilities."""
+
+        def held(own: Column) -> Column:
+            like = lambda t: (F.size(F.array_intersect(own["three"], t["three"])) >= F.lit(CONFIRM) * F.size(t["three"])) & (F.size(F.array_except(t["pairs"], own["pairs"])) == 0)
+            likely = F.filter(F.sequence(F.lit(0), F.lit(UNKNOWN - 1)), lambda i: F.get(x["p"], i) >= F.lit(LEAST_SHARE))
+            sure = F.filter(likely, lambda i: F.exists(F.get(by_family, i), like))
+            return F.transform(sure, lambda i: F.struct(F.get(x["p"], i).alias("score"), F.get(names, i).alias("family")))
+
+        return _let(F.struct(grams(x["w"], 3).alias("three"), grams(x["w"], 2).alias("pairs")), held)
 
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("_text"), F.arrays_overlap(grams(words(text), 3), three).alias("_some"))
-    found = F.when(F.col("_some"), F.filter(F.transform(windows(F.col("_text")), judged), lambda x: x["score"] >= F.lit(model.level)))
     names = _strings(list(FAMILIES))
-    checked = rows.select("doc_id", F.transform(found, lambda x: F.struct(x["score"].alias("score"), F.get(names, x["family"]).alias("family"), confirmed(x).alias("sure"))).alias("_found"))
-    sure = F.coalesce(F.filter("_found", lambda x: x["sure"]), F.array().cast("array<struct<score: double, family: string, sure: boolean>>"))
-    best = F.array_max(F.transform(sure, lambda x: F.struct(x["score"], x["family"])))
+    found = F.when(F.col("_some"), F.filter(F.transform(windows(F.col("_text")), judged), lambda x: x["some"] >= F.lit(model.level)))
+    nothing = F.array().cast("array<array<struct<score: double, family: string>>>")
+    checked = rows.select("doc_id", F.coalesce(F.transform(found, confirmed), nothing).alias("_found"))
+    checked = checked.select("*", F.flatten("_found").alias("_sure"))
+    best = F.array_max("_sure")
+    sure = F.size(F.filter("_found", lambda x: F.size(x) > 0))
     return checked.select(
         "doc_id",
-        F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))).alias("families"),
+        F.array_sort(F.array_distinct(F.transform("_sure", lambda x: x["family"]))).alias("families"),
         best["family"].alias("family"),
         F.coalesce(best["score"], F.lit(0.0)).alias("score"),
-        F.size(sure).alias("paragraphs"),
-        (F.coalesce(F.size("_found"), F.lit(0)) - F.size(sure)).alias("unconfirmed"),
+        sure.alias("paragraphs"),
+        (F.size("_found") - sure).alias("unconfirmed"),
     )
 
 
