@@ -56,7 +56,7 @@ def test_recall_and_scores(spark, rows, monkeypatch):
         assert [i for i, _ in got[q]] == sorted(i for i in common if i != q)[:20] == [i for i, _ in want[q]]
 
 
-@pytest.mark.parametrize("n", [12_000, 24_000])
+@pytest.mark.parametrize("n", [12_000, 24_000, 50_000])
 def test_full_answers_with_many_lists(spark, n):
     """Far more lists than LEAST, the sample being the whole table and a part of it: no query lacks a row."""
     assert n // ann.LIST_SIZE > 5 * ann.LEAST and (n < ann.SAMPLE) == (n == 12_000)
@@ -67,8 +67,28 @@ def test_full_answers_with_many_lists(spark, n):
     got, want = answers(ann.search(docs, every=60)), brute(rows, every=60)
     assert set(got) == set(want)
     assert all(len(found) == len({i for i, _ in found}) == 20 for found in got.values())
-    if n < ann.SAMPLE:  # above it, recall without clusters is known to be less: see README
-        assert recall(got, want) >= 0.9
+    assert recall(got, want) >= 0.9
+
+
+def test_ratio_follows_the_data():
+    """Vectors in clusters read few lists; without clusters, as many as their neighbours need."""
+    rng = np.random.default_rng(5)
+    spread = rng.normal(size=(6000, 24))
+    centres = rng.normal(size=(100, 24))
+    grouped = centres[rng.integers(0, 100, 6000)] + 0.1 * rng.normal(size=(6000, 24))
+    within = []
+    for x in (spread, grouped):
+        lists = ann.learn(x, float(np.sqrt((x**2).sum(axis=1)).max()), 60)
+        near, far = lists.nearest(lists.lengthened(x), ann.REPLICAS)
+        row, at = np.nonzero(far <= far[:, :1] * ann.CLOSURE)
+        entered = np.zeros((len(x), 60), bool)
+        entered[row, near[row, at]] = True
+        ratio, most = ann.measured(lists, x, entered, 20)
+        assert ratio >= 1 and 1 <= most <= 60
+        within.append(most)
+    assert within[1] < within[0] / 2
+    one = ann.learn(spread[:1], 10.0, 1)
+    assert ann.measured(one, spread[:1], np.ones((1, 1), bool), 20) == (1.0, 1)
 
 
 def test_few_and_none(spark):

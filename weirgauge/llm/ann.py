@@ -5,8 +5,10 @@ rows share is one entry. One more coordinate makes all vectors equally long, whi
 the smallest distance. The driver learns the lists' centroids from a bounded sample by halving groups at the median
 between two means, so lists are balanced; it links each centroid to its nearest ones, and tasks walk this graph in
 memory to find a vector's nearest lists. A vector near a boundary enters several lists (all within ``CLOSURE`` of the
-nearest distance, ``REPLICAS`` at most). A query reads the lists within ``RATIO`` of its nearest distance, at least
-``LEAST`` of them, and more while those hold too few vectors for a full answer. Long lists and many queries are cut into
+nearest distance, ``REPLICAS`` at most). A query reads the lists whose distance is within a ratio of its nearest one, at
+least ``LEAST`` of them, and more while those hold too few vectors for a full answer. The ratio is measured, not set: it
+is the least at which ``PROBES`` of the sample's vectors find ``FOUND`` of their neighbours in the sample, so vectors in
+clusters read few lists, and vectors without any read as many as the recall needs. Long lists and many queries are cut into
 blocks that meet pairwise, so no task holds a whole list. Found vectors that cannot be in the answer are left out early,
 by a floor under each query's scores: the last of the k + 1 best among the sample's vectors in the very lists that the
 query reads. These are found, so a floor never costs a row.
@@ -32,7 +34,9 @@ K = 20
 #: Vectors that the centroids are learned from, at most; vectors in a list on average; lists at most.
 SAMPLE, LIST_SIZE, MOST_LISTS = 20_000, 200, 2048
 REPLICAS, CLOSURE = 4, 1.15
-RATIO, LEAST, REACH = 1.14, 8, 0.4
+LEAST = 8
+#: Vectors of the sample that the ratio is measured with, and the share of their neighbours that has to be found.
+PROBES, FOUND = 256, 0.97
 DEGREE = 16
 #: Vectors and queries that meet in one task at once.
 BLOCK = 4096
@@ -119,6 +123,28 @@ def learn(sample: np.ndarray, length: float, lists: int, seed: int = 0) -> Lists
     return Lists(centroids, np.column_stack([near, ring]), starts, length)
 
 
+def measured(lists: Lists, sample: np.ndarray, entered: np.ndarray, k: int) -> tuple[float, int]:
+    """The ratio of distances, and the most lists within it, at which probes find ``FOUND`` of their k nearest.
+
+    ``entered`` says in which lists each vector of the sample is. A neighbour is found by the nearest of its lists.
+    """
+    at = np.unique(np.linspace(0, len(sample) - 1, min(len(sample), PROBES)).astype(int))
+    k = min(k, len(sample) - 1)
+    if k < 1:
+        return 1.0, 1
+    scores = sample[at] @ sample.T
+    scores[np.arange(len(at)), at] = -np.inf
+    nearest = np.argpartition(scores, len(sample) - k, axis=1)[:, len(sample) - k :]
+    points = lists.as_query(sample[at])
+    gap = (points**2).sum(axis=1)[:, None] + (lists.centroids**2).sum(axis=1) - 2 * points @ lists.centroids.T
+    gap = np.sqrt(np.maximum(gap, 0))
+    best = gap.min(axis=1)
+    met = np.stack([np.where(entered[near], far, np.inf).min(axis=1) for near, far in zip(nearest, gap, strict=True)])
+    floor = np.finfo(float).tiny
+    ratio = float(np.quantile(met / np.maximum(best, floor)[:, None], FOUND, method="higher"))
+    return ratio, int((gap <= best[:, None] * ratio).sum(axis=1).max())
+
+
 def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """id and v (array of double) of the rows that take part, one per id."""
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("id is not null and v is not null")
@@ -174,7 +200,6 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, key: str = "vec_id",
     known_vectors = _matrix(sample.column("v"))
     lists = learn(known_vectors, float(longest), max(1, min(MOST_LISTS, n // LIST_SIZE)))
     shared = spark.sparkContext.broadcast(lists)
-    reach = max(LEAST, int(REACH * len(lists.centroids)))
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,6 +221,9 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, key: str = "vec_id",
     entered = np.zeros((len(known_vectors), len(lists.centroids)), bool)
     entered[order[np.searchsorted(sample.column("uid").to_numpy(), placed.column("uid").to_numpy(), sorter=order)], placed.column("list").to_numpy()] = True
     known_sample = spark.sparkContext.broadcast((known_vectors, np.packbits(entered, axis=1), sizes_of))
+    # of the k nearest in the table, the sample holds its share
+    ratio, within = measured(lists, known_vectors, entered, max(1, -(-k * len(known_vectors) // n)))
+    reach = max(LEAST, within)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, (sample, bits, sizes) = shared.value, known_sample.value
@@ -206,7 +234,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, key: str = "vec_id",
                 part = batch.slice(a, 256)
                 x = _matrix(part.column("v"))
                 near, far = known.nearest(known.as_query(x), reach)
-                keep = (near >= 0) & (far <= far[:, :1] * RATIO)
+                keep = (near >= 0) & (far <= far[:, :1] * ratio)
                 keep[:, :LEAST] |= near[:, :LEAST] >= 0
                 count = np.where(near >= 0, sizes[near], 0)
                 keep |= (near >= 0) & (np.cumsum(count, axis=1) - count < need)
