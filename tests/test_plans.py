@@ -69,7 +69,31 @@ def test_whole_monitor_has_no_pairwise_join_and_no_python(stored):
     plan = pu.executed_plan(stored.scorecard())
     assert pu.no_pairwise_join(plan)
     assert "Python" not in plan and "Pandas" not in plan
-    assert pu.scans(plan) <= 15
+    assert pu.scans(plan) <= 14
+
+
+def test_single_table_arm_reads_the_shared_counts(stored):
+    own, shared = stored.single_volume_card(), stored.single_volume_card(shared=True)
+    assert own.collect() == shared.collect() != []
+    together = stored.volume_card(with_duplicates=False).select("source_table").union(shared.select("source_table"))
+    plan = pu.executed_plan(together)
+    assert pu.scans(plan) == 4 and pu.count(plan, "ReusedExchange") == 1
+
+
+def test_volume_with_diagnostics_of_one_table_has_no_join(stored):
+    keys = duplicates.KeySpec(stored.daily, ("company_id", "product_code"), ("company_id",), "date_id")
+    found = duplicates.duplicate_report({"t": keys}, D)
+    plan = pu.executed_plan(volume.volume_scorecard({"t": volume.DailyTable(stored.daily, "date_id")}, D, duplicates=found))
+    assert pu.no_pairwise_join(plan) and "Join" not in plan
+
+
+def test_rules_of_a_refinement_share_one_grouping(stored):
+    rules = {"all": "true", "none": "false", "unknown": "null"}
+    found = coverage.refine_each(stored.daily, "company_id", rules)
+    plan = pu.executed_plan(found)
+    assert pu.scans(plan) == 1 and pu.count(plan, "Exchange") == 1
+    entities = {r.company_id for r in stored.daily.select("company_id").distinct().collect()} - {None}
+    assert {(r.rule, r.company_id) for r in found.collect()} == {("all", e) for e in entities}
 
 
 def test_days_are_pushed_to_the_scan(stored):

@@ -9,7 +9,7 @@ one exchange, no join, and a hot entity collapses before it is shuffled.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -79,6 +79,21 @@ def refine(population: DataFrame, rows: DataFrame, key: str, where: str = "true"
     return population.join(rows.where(where).select(key).distinct(), key, "left_semi")
 
 
+def refine_each(rows: DataFrame, key: str, rules: Mapping[str, str]) -> DataFrame:
+    """``rule, <key>``: for each rule, the entities with a row that passes it; all rules from one grouping of the rows.
+
+    A row of flags per entity leaves each task, whatever the number of rules or of an entity's rows. An entity may meet
+    several rules; a NULL entity meets none.
+    """
+    entity, numbered = name(key), list(enumerate(rules.items()))
+    flags = aggregate(
+        rows.where(f"{entity} is not null").groupBy(key),
+        *[f"max({holds(predicate)}) as met_{i}" for i, (_, predicate) in numbered],
+    )
+    met = inline([{"rule": text(rule), "met": f"met_{i}"} for i, (rule, _) in numbered])
+    return flags.selectExpr(entity, met).where("met").select("rule", key)
+
+
 def measure(
     df: DataFrame, key: str, value: str, where: str, date: str, as_of: dt.date | str, lag: int = 0
 ) -> DataFrame:

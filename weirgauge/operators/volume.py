@@ -9,6 +9,7 @@ from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from weirgauge.functions.expr import (
     aggregate,
@@ -58,11 +59,12 @@ def daily_counts(
     return aggregate(stacked.groupBy("source_table", "record_date"), "count(1) as record_count")
 
 
-def trailing_baseline(counts: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame:
+def trailing_baseline(counts: DataFrame, as_of: dt.date | str, days: int = 7, *carried: str) -> DataFrame:
     """Per table: rows on the day, and the mean over the days present before it.
 
     The total and the number of days are kept beside the mean so that the
-    threshold can be tested without rounding.
+    threshold can be tested without rounding. Columns to be ``carried`` along
+    hold one value per table.
     """
     before = f"record_date between {day(as_of, days)} and {day(as_of, 1)}"
     return aggregate(
@@ -71,6 +73,7 @@ def trailing_baseline(counts: DataFrame, as_of: dt.date | str, days: int = 7) ->
         f"sum(record_count) filter (where {before}) as baseline_rows",
         f"count(1) filter (where {before}) as baseline_days",
         f"avg(record_count) filter (where {before}) as expected_record_count",
+        *[f"max({c}) as {c}" for c in carried],
     )
 
 
@@ -115,7 +118,12 @@ def volume_scorecard(
         card = card.unionByName(outages(counts, expected, as_of, days).select(*card.columns))
     if duplicates is None:
         return card
-    return card.join(duplicates, "source_table", "left").selectExpr(
+    # Both sides are one row per table: stacked and regrouped by name, so that no join is planned for them.
+    diagnostics = ("duplicate_key_groups", "extra_duplicate_rows", "top_duplicate_keys")
+    stacked = card.unionByName(duplicates.select("source_table", *diagnostics), allowMissingColumns=True)
+    columns = [c for c in (*card.columns, *diagnostics) if c != "source_table"]
+    met = aggregate(stacked.groupBy("source_table"), *[f"first({c}, true) as {c}" for c in columns])
+    return met.where("status is not null").selectExpr(
         *card.columns,
         "coalesce(duplicate_key_groups, 0) as duplicate_key_groups",
         "coalesce(extra_duplicate_rows, 0) as extra_duplicate_rows",
@@ -132,8 +140,19 @@ def volume_scorecard_single(
     threshold: Decimal | str = "0.20",
 ) -> DataFrame:
     """The same test for one table, reporting the signed row difference and a plain ratio."""
-    base = trailing_baseline(daily_counts({label: table}, as_of, days), as_of, days)
-    return base.where("current_record_count is not null").selectExpr(
+    return single_scorecard(daily_counts({label: table}, as_of, days), label, as_of, days, threshold)
+
+
+def single_scorecard(
+    counts: DataFrame, label: str, as_of: dt.date | str, days: int = 7, threshold: Decimal | str = "0.20"
+) -> DataFrame:
+    """``volume_scorecard_single`` from the ``daily_counts`` of any tables, the one with that label among them.
+
+    The table is picked from the baselines by an aggregate of its name. A test of the name itself would move down to the
+    scans, whose exchange could then no longer be the one that the check of all tables reads.
+    """
+    base = trailing_baseline(counts.withColumn("counted_table", F.col("source_table")), as_of, days, "counted_table")
+    return base.where(f"counted_table = {text(label)} and current_record_count is not null").selectExpr(
         "source_table",
         f"{day(as_of)} as record_date",
         "current_record_count",

@@ -690,6 +690,10 @@ ORACLES: dict[str, str] = {
     with typed as (select l_suppkey, p_type like 'ECON%' as prefixed from lineitem join part on l_partkey = p_partkey
                    where l_shipdate::date = {ORDER_DAY})
     select distinct case when prefixed then 'prefix' else 'other' end as rule, l_suppkey from typed""",
+    "refined_eligibility": f"""
+    select distinct l_suppkey from lineitem
+    where l_shipdate::date = {ORDER_DAY} and l_suppkey in
+        (select l_suppkey from lineitem join part on l_partkey = p_partkey where p_type like 'ECON%')""",
     "entity_measure": f"select user_id, sum(value::decimal(18,2))::double as usage_value from events "
     f"where event_type = 'purchase' and ts::date = {EVENT_DAY} - 1 group by user_id",
     "entity_facts": f"select check_name, source_table, cast(check_date as varchar) as check_date, user_id, "

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirgauge.functions.expr import OK, as_date, date_of, day, text
+from weirgauge.functions.expr import OK, as_date, date_of, day
 from weirgauge.operators import change, contracts, coverage, duplicates, envelope, presence, report, volume
 from weirgauge.operators.envelope import METRICS
 from weirgauge.operators.state import DailyState
@@ -363,16 +363,20 @@ def eligible_population(spark, sf_dir):
 
 @query
 def prefix_eligibility(spark, sf_dir):
-    """Suppliers shipping on the day, refined by the type prefix of their parts."""
+    """Suppliers shipping on the day, by the type prefix of their parts; both prefixes in one pass."""
     today = B.lineitem(spark, sf_dir).where(f"{date_of('l_shipdate')} = {day(B.ORDER_DAY)}")
     part = read_table(spark, "part", sf_dir).selectExpr("p_partkey as l_partkey", "p_type")
-    typed = today.join(part, "l_partkey")
-    suppliers = coverage.eligible(today, "l_suppkey", "true", "l_shipdate", B.ORDER_DAY)
-    arms = [
-        coverage.refine(suppliers, typed, "l_suppkey", predicate).selectExpr(f"{text(name)} as rule", "l_suppkey")
-        for name, predicate in (("prefix", "p_type like 'ECON%'"), ("other", "p_type not like 'ECON%'"))
-    ]
-    return arms[0].unionByName(arms[1])
+    rules = {"prefix": "p_type like 'ECON%'", "other": "p_type not like 'ECON%'"}
+    return coverage.refine_each(today.join(part, "l_partkey"), "l_suppkey", rules)
+
+
+@query
+def refined_eligibility(spark, sf_dir):
+    """Suppliers shipping on the day that also shipped a part of the prefix on any day."""
+    rows = B.lineitem(spark, sf_dir)
+    part = read_table(spark, "part", sf_dir).selectExpr("p_partkey as l_partkey", "p_type")
+    suppliers = coverage.eligible(rows, "l_suppkey", "true", "l_shipdate", B.ORDER_DAY)
+    return coverage.refine(suppliers, rows.join(part, "l_partkey"), "l_suppkey", "p_type like 'ECON%'")
 
 
 @query
