@@ -35,7 +35,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.ByteBpe(spark, path, public_tokenizers.PATTERN).round_trip(docs)
+    return bpe.ByteBpe(spark, path, public_tokenizers.PATTERN).round_trip(docs, with_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -2,8 +2,9 @@
 
 The ranks of a ``.tiktoken`` file become a model of the tokenizers library: bytes are written as characters by the usual
 byte table, and every way to split a token into two others is a merge with the token's rank. Each match of the pattern
-is encoded separately, so texts are first cut at places where a match surely ends, equal pieces are encoded once per
-task, and the results are put together. Decoding maps ids back through the byte table; a character whose bytes lie in
+is encoded separately, so texts are first cut at places where a match surely ends (with the pattern of the public
+tokenizers; with any other, texts are not cut), equal pieces are encoded once per task, and the ids and offsets of whole
+texts are put together from them. Digests are made of a whole text's ids and of what these decode to. Decoding maps ids back through the byte table; a character whose bytes lie in
 several tokens is whole again once their bytes are joined.
 
 A null text is empty and has no ids; a null list of ids decodes to no bytes; ids outside the vocabulary raise an error.
@@ -19,9 +20,12 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
+import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -70,44 +74,52 @@ class Codec:
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         back = {c: b for b, c in chars.items()}
         self.token_bytes = {i: bytes(back[c] for c in self.tokenizer.id_to_token(i)) for i in ranks.values()}
+        self.written_ids = {i: str(i) for i in self.token_bytes}
         self.matches = regex.compile(pattern).findall
-        self.known: dict[str, tuple] = {}
-        self.joined: dict[str, str] = {}
-        self.decoded: dict[str, bytes] = {}
+        self.cuts = pattern == public_tokenizers.PATTERN
+        #: of each piece that was met: its ids, and, where asked for, where the characters of each start and end; as
+        #: packed 32-bit numbers
+        self.known: dict[str, bytes] = {}
+        self.spans: dict[str, bytes] = {}
 
     def cut(self, text: str) -> list[str]:
         """Pieces of the text that no match crosses."""
+        if not self.cuts:
+            return [text] if text else []
         parts = (_CUT.split(text) if _UNSAFE.search(text) else text.split(" ")) if text else []
         parts[1:] = [f" {part}" for part in parts[1:]]
         return parts if not parts or parts[0] else parts[1:]
 
-    def learn(self, texts: list[list[str]], offsets: bool = False) -> None:
-        """Encodes the pieces that are not yet known: ids as text, decoded bytes and, if asked for, ids with offsets."""
-        known = self.known if offsets else self.joined
+    def learn(self, texts: list[list[str]], offsets: bool) -> None:
+        """Encodes the pieces that are not yet known, or whose offsets are not."""
+        known = self.spans if offsets else self.known
         missing = {part for parts in texts for part in parts if part not in known}
         if len(known) + len(missing) > CACHE_PIECES and known:
-            known.clear()
-            self.decoded.clear()
+            self.known.clear()
+            self.spans.clear()
             missing = {part for parts in texts for part in parts}
         todo = list(missing)
         split = [self.matches(part) for part in todo]
         flat = list(dict.fromkeys(m for found in split for m in found))
         encode = self.tokenizer.encode_batch if offsets else self.tokenizer.encode_batch_fast
         coded = dict(zip(flat, encode(flat, add_special_tokens=False), strict=True))
+        packed = {m: array("i", one.ids).tobytes() for m, one in coded.items()}
         for part, found in zip(todo, split, strict=True):
+            self.known[part] = packed[part] if len(found) == 1 else b"".join([packed[m] for m in found])
             if offsets:
-                ids, spans, at = [], [], 0
+                spans, at = array("i"), 0
                 for m in found:
-                    ids += coded[m].ids
-                    spans += [(at + a, at + b) for a, b in coded[m].offsets]
+                    spans.extend(at + x for span in coded[m].offsets for x in span)
                     at += len(m)
-                self.known[part] = (ids, spans)
-            else:
-                ids = [i for m in found for i in coded[m].ids]
-                self.joined[part] = ",".join(map(str, ids))
-                self.decoded[part] = self.decode(ids)
+                self.spans[part] = spans.tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int], list[int]]]:
+    def ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text."""
+        cut = [self.cut(text or "") for text in texts]
+        self.learn(cut, offsets=False)
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, parts)), np.int32) for parts in cut]
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Ids of each text, and the first character and the one after the last of each token.
 
         Tokens that share a character all cover it.
@@ -116,17 +128,15 @@ class Codec:
         self.learn(cut, offsets=True)
         out = []
         for parts in cut:
-            ids, starts, ends, at = [], [], [], 0
-            for part in parts:
-                own, spans = self.known[part]
-                ids += own
-                starts += [at + a for a, _ in spans]
-                ends += [at + b for _, b in spans]
-                at += len(part)
-            out.append((ids, starts, ends))
+            ids = [self.known[part] for part in parts]
+            spans = np.frombuffer(b"".join(map(self.spans.__getitem__, parts)), np.int32).reshape(-1, 2)
+            sizes = np.fromiter(map(len, parts), np.int32, len(parts))
+            counts = np.fromiter([len(own) >> 2 for own in ids], np.int32, len(parts))
+            at = np.repeat(np.cumsum(sizes, dtype=np.int32) - sizes, counts)
+            out.append((np.frombuffer(b"".join(ids), np.int32), spans[:, 0] + at, spans[:, 1] + at))
         return out
 
-    def decode(self, ids: list[int] | None) -> bytes:
+    def decode(self, ids: Sequence[int] | None) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids or ()))
 
     def decode_stream(self, ids: list[int]) -> list[str]:
@@ -134,16 +144,16 @@ class Codec:
         decoder = codecs.getincrementaldecoder("utf-8")("replace")
         return [decoder.decode(self.token_bytes[i], n == len(ids)) for n, i in enumerate(ids, 1)]
 
-    def digests(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
-        """Of each text: number of ids, SHA-256 of the ids, and SHA-256 of what they decode to."""
-        cut = [self.cut(text or "") for text in texts]
-        self.learn(cut)
-        out = []
-        for parts in cut:
-            ids = ",".join(map(self.joined.__getitem__, parts))
-            data = b"".join(map(self.decoded.__getitem__, parts))
-            out.append((ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(data).hexdigest()))
-        return out
+    def digests(self, ids: Sequence[int]) -> tuple[int, str, str]:
+        """Number of the ids, SHA-256 of them as decimals joined by commas, and SHA-256 of what they decode to."""
+        joined = ",".join(map(self.written_ids.__getitem__, ids))
+        return len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(self.decode(ids)).hexdigest()
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    """Rows of 32-bit numbers as one list column."""
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32), pa.int32()))
 
 
 @lru_cache(maxsize=2)
@@ -176,7 +186,7 @@ class ByteBpe:
 
         def rows(codec: Codec, batch: pa.RecordBatch) -> list[pa.Array]:
             coded = codec.encode(batch.column(text).to_pylist())
-            return [pa.array([row[i] for row in coded], pa.list_(pa.int32())) for i in range(3)]
+            return [_lists([row[i] for row in coded]) for i in range(3)]
 
         kind = dict(docs.dtypes)[key]
         return self._map(docs.select(key, text), f"{key} {kind}; ids array<int>; starts array<int>; ends array<int>", [key], rows, text)
@@ -191,12 +201,15 @@ class ByteBpe:
         kind = dict(coded.dtypes)[key]
         return self._map(coded.select(key, ids), f"{key} {kind}; bytes binary; text string", [key], rows, None)
 
-    def round_trip(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-        """key, n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256, by encoding and decoding each text."""
+    def round_trip(self, docs: DataFrame, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+        """key, n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256, and the ids if asked for: each text is
+        encoded, and what is hashed are its ids and what they decode to."""
 
         def rows(codec: Codec, batch: pa.RecordBatch) -> list[pa.Array]:
-            n, ids, data = zip(*codec.digests(batch.column(text).to_pylist()), strict=True)
-            return [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(data, pa.string())]
+            coded = codec.ids(batch.column(text).to_pylist())
+            n, ids, data = zip(*[codec.digests(x.tolist()) for x in coded], strict=True)
+            made = [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(data, pa.string())]
+            return made + ([_lists(coded)] if with_ids else [])
 
-        kind = dict(docs.dtypes)[key]
-        return self._map(docs.select(key, text), f"{key} {kind}; n_tokens long; ids_sha256 string; decoded_sha256 string", [key], rows, text)
+        schema = f"{key} {dict(docs.dtypes)[key]}; n_tokens long; ids_sha256 string; decoded_sha256 string"
+        return self._map(docs.select(key, text), schema + ("; ids array<int>" if with_ids else ""), [key], rows, text)

@@ -18,9 +18,11 @@ HOT_KEYS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none, as in tests."""
+    """The folder that driver and executors share; a temporary one only where one machine runs all, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", "")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='weirgauge-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
