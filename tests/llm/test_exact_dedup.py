@@ -71,8 +71,40 @@ def test_small_memory_changes_nothing(spark, rows, monkeypatch):
     # the function runs here, on Arrow batches, as in a task
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t in rows], pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "row": n, "text": t} for n, (i, t) in enumerate(rows)], pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("text", pa.string())]))
     made = [r for b in ed._copies_within(iter([batch]), ed.Directory({}, 2, 10), 60) for r in b.to_pylist()]
-    assert sum(r["copies"] for r in made) == len(rows)
-    entries = [r for b in ed._chains(iter([pa.RecordBatch.from_pylist(sorted(made, key=lambda r: (r["key"], r["sha"])), ed._ROW)])) for r in b.to_pylist()]
+    assert sum(r["copies"] for r in made) == len(rows) and len(made) > 200
+    written = [r for b in ed._chains(iter([pa.RecordBatch.from_pylist(sorted(made, key=lambda r: (r["key"], r["sha"])), ed._ROW)])) for r in b.to_pylist()]
+    entries = [r for r in written if r["copies"] is not None]
     assert len(entries) == len({(t or "").translate(LOWER) for _, t in rows})
+    assert sorted(n for r in written if r["copies"] is None for n in r["rows"]) == list(range(len(rows)))
+
+
+def test_bytes_decide_where_digests_collide(spark, monkeypatch):
+    # every text has the same digest here, so only the comparison of bytes tells them apart
+    import pyarrow as pa
+
+    class Same:
+        def __init__(self, data):
+            pass
+
+        def digest(self):
+            return bytes(32)
+
+        def hexdigest(self):
+            return "0" * 64
+
+    monkeypatch.setattr(ed.hashlib, "sha256", Same)
+    texts = ["a", "b", "A", None, "", "b"]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": n, "row": n, "text": t} for n, t in enumerate(texts)], pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("text", pa.string())]))
+    made = list(ed._copies_within(iter([batch]), ed.Directory({}, 1, 10), 60))
+    written = [r for b in ed._chains(iter(made + made)) for r in b.to_pylist()]
+    assert sorted((r["keep_id"], r["copies"], r["chain"]) for r in written if r["copies"] is not None) == [(2, 4, 0), (4, 4, 1), (5, 4, 2)]
+    assert {tuple(r["rows"]): r["chain"] for r in written if r["copies"] is None} == {(0, 2): 0, (3, 4): 1, (1, 5): 2}
+
+
+def test_a_file_for_each_bucket(spark, rows):
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, row long").repartition(3)
+    slots = ed.directory(ed.hashed(docs), bucket_bytes=200)
+    files = ed.index(docs, slots).inputFiles()
+    assert 1 < slots.buckets and len(files) == len({f.split("bucket=")[1].split("/")[0] for f in files}) <= slots.buckets

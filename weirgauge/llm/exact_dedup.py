@@ -1,10 +1,12 @@
-"""Exact duplicates through an extendible-hash index whose files lie in the shared folder.
+"""Exact duplicates through an extendible-hash index whose files lie in the shared folder, one for each bucket.
 
 The first bits of a text's key choose a directory slot; slots share a bucket until it overflows, then the directory
 doubles and the bucket splits. Each bucket is a range of keys that one owner task works through in key order: texts of
 one key are compared byte by byte with the chain of different texts found for that key so far, so neither a short key
 nor a collision can join different texts. Copies are met within a task first, so of a text that fills a third of the
-table, each task passes on one copy with a count.
+table, each task passes on one copy with the rows that hold it. The owner writes to the bucket's file an entry for each
+link of a chain, and for each copy passed on the address (bucket, key, link) that its bytes were found at; rows get
+their answer from the entry at their address.
 
 Texts are equal when their bytes are equal after lower-casing A-Z. A null text counts as empty. Of equal texts the
 largest doc_id stays (null ids last); of rows that repeat both id and text, one stays. An empty table gives no rows;
@@ -21,33 +23,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirgauge.llm.common import lookup, numbered, stored
+from weirgauge.llm.common import lookup, numbered, shared_path
 
 #: Bytes of different texts above which a bucket splits, and the most bits that a directory may use.
 BUCKET_BYTES = 8 << 20
 MAX_DEPTH = 16
 #: Bytes of texts that a task remembers while it looks for copies; more than one task's share changes nothing but speed.
 REMEMBERED_BYTES = 32 << 20
+#: Bytes that a remembered row counts for beside its text.
+ROW_BYTES = 80
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_ROW = pa.schema([("bucket", pa.int32()), ("key", pa.int64()), ("sha", pa.string()), ("keep_id", pa.int64()), ("copies", pa.int64()), ("data", pa.binary())])
-_ENTRY = pa.schema([("bucket", pa.int32()), ("key", pa.int64()), ("chain", pa.int32()), ("sha", pa.string()), ("keep_id", pa.int64()), ("copies", pa.int64())])
+_LIST = pa.list_(pa.int64())
+_ROW = pa.schema([("bucket", pa.int32()), ("key", pa.int64()), ("sha", pa.string()), ("keep_id", pa.int64()), ("keep_row", pa.int64()), ("copies", pa.int64()), ("ids", _LIST), ("rows", _LIST), ("data", pa.binary())])
+#: An entry has no ids and rows; an address has nothing else.
+_FILE = pa.schema([("key", pa.int64()), ("chain", pa.int32()), ("sha", pa.string()), ("keep_id", pa.int64()), ("keep_row", pa.int64()), ("copies", pa.int64()), ("ids", _LIST), ("rows", _LIST), ("bucket", pa.int32())])
 
 
 def _ddl(schema: pa.Schema) -> str:
-    names = {pa.int32(): "int", pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
-    return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
+    names = {pa.int32(): "int", pa.int64(): "long", pa.string(): "string", pa.binary(): "binary", _LIST: "array<long>"}
+    return ", ".join(f"`{f.name}` {names[f.type]}" for f in schema)
+
+
+def _stays(a: tuple[int | None, int], b: tuple[int | None, int]) -> tuple[int | None, int]:
+    """Of two rows (doc_id, row) with equal texts the one that stays: the larger id, then the smaller row."""
+    return max(a, b, key=lambda r: (r[0] is not None, r[0] or 0, -r[1]))
 
 
 def hashed(docs: DataFrame, key_bits: int = 60) -> DataFrame:
-    """doc_id, row, key (the first bits of the digest), size (bytes) and sha (hex SHA-256) of each normalised text."""
+    """key (the first bits of the digest), size (bytes) and sha (hex SHA-256) of each normalised text."""
     text = F.translate(F.coalesce("text", F.lit("")), _UPPER, _UPPER.lower())
-    row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.cast("long").alias("row"), text.alias("_text"))
-    rows = rows.select("doc_id", "row", F.octet_length("_text").cast("long").alias("size"), F.sha2("_text", 256).alias("sha"))
+    rows = docs.select(F.octet_length(text).cast("long").alias("size"), F.sha2(text, 256).alias("sha"))
     key = F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")
-    return rows.select("doc_id", "row", F.shiftright(key, 60 - key_bits).alias("key"), "size", "sha")
+    return rows.select(F.shiftright(key, 60 - key_bits).alias("key"), "size", "sha")
 
 
 class Directory:
@@ -90,79 +99,116 @@ def directory(rows: DataFrame, key_bits: int = 60, bucket_bytes: int = BUCKET_BY
     return Directory({r.prefix: r.size for r in sums}, bits, bucket_bytes)
 
 
+class _Copies:
+    """A text that a task remembers and the rows that hold it."""
+
+    def __init__(self, bucket: int, key: int, sha: str, data: bytes):
+        self.bucket, self.key, self.sha, self.data = bucket, key, sha, data
+        self.stays: tuple[int | None, int] | None = None
+        self.ids: list[int | None] = []
+        self.rows: list[int] = []
+
+    def add(self, doc_id: int | None, row: int) -> None:
+        self.stays = (doc_id, row) if self.stays is None else _stays(self.stays, (doc_id, row))
+        self.ids.append(doc_id)
+        self.rows.append(row)
+
+    def size(self) -> int:
+        return len(self.data) + ROW_BYTES * len(self.rows)
+
+    def values(self) -> tuple:
+        return self.bucket, self.key, self.sha, *self.stays, len(self.rows), self.ids, self.rows, self.data
+
+
 def _copies_within(batches: Iterator[pa.RecordBatch], slots: Directory, key_bits: int) -> Iterator[pa.RecordBatch]:
-    """One row for each different text that the task remembers: largest id, number of copies, bytes."""
-    seen: OrderedDict[tuple[bytes, int], list] = OrderedDict()
-    held, ready = 0, []
+    """Each different text that the task remembers once, with its rows; a text met again after it was passed on is
+    passed on again."""
+    seen: OrderedDict[tuple[bytes, int], _Copies] = OrderedDict()
+    held, ready, ready_size = 0, [], 0
 
-    def rows(entries: list[list]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*entries, strict=True), _ROW, strict=True)], schema=_ROW)
+    def batch_of(copies: list[_Copies]) -> pa.RecordBatch:
+        columns = zip(*(c.values() for c in copies), strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROW, strict=True)], schema=_ROW)
 
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+        for doc_id, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), batch.column("text"), strict=True):
             data = (text.as_buffer().to_pybytes() if text.is_valid else b"").translate(_LOWER)
             digest, chain = hashlib.sha256(data), 0
             sha = digest.digest()
-            while (found := seen.get((sha, chain))) is not None and found[5] != data:
+            while (found := seen.get((sha, chain))) is not None and found.data != data:
                 chain += 1  # the same digest, other bytes
             if found is None:
                 key = int.from_bytes(sha[:8], "big") >> (64 - key_bits)
-                seen[sha, chain] = [slots.bucket(key, key_bits), key, digest.hexdigest(), doc_id, 1, data]
+                found = seen[sha, chain] = _Copies(slots.bucket(key, key_bits), key, digest.hexdigest(), data)
                 held += len(data)
             else:
-                found[3] = doc_id if found[3] is None else max(found[3], found[3] if doc_id is None else doc_id)
-                found[4] += 1
                 seen.move_to_end((sha, chain))
-            while held > REMEMBERED_BYTES and len(seen) > 1:
+            found.add(doc_id, row)
+            held += ROW_BYTES
+            while held > REMEMBERED_BYTES:
                 ready.append(seen.popitem(last=False)[1])
-                held -= len(ready[-1][5])
-            if sum(len(r[5]) for r in ready[-1:]) and (len(ready) >= 256 or len(ready[-1][5]) > 1 << 20):
-                yield rows(ready)
-                ready = []
-    ready += seen.values()
-    seen.clear()
-    while ready:
-        part, size = [], 0
-        while ready and (not part or size < 4 << 20):
-            part.append(ready.pop())
-            size += len(part[-1][5])
-        yield rows(part)
+                held -= ready[-1].size()
+                ready_size += ready[-1].size()
+            if ready_size > 4 << 20:
+                yield batch_of(ready)
+                ready, ready_size = [], 0
+    for copies in seen.values():
+        ready.append(copies)
+        ready_size += copies.size()
+        if ready_size > 4 << 20:
+            yield batch_of(ready)
+            ready, ready_size = [], 0
+    if ready:
+        yield batch_of(ready)
 
 
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in key order to one entry per different text; only the chain of the current key is held."""
+    """Rows in key order to the address of each and an entry for each link; only the chain of the current key is held."""
     key, chain = None, []
 
-    def entries(chain: list[list]) -> list[dict]:
-        return [dict(zip(_ENTRY.names, (c[0], c[1], i, *c[2:5]), strict=True)) for i, c in enumerate(chain)]
+    def entries(links: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*links, strict=True)) if links else [()] * 7
+        named = dict(zip(("bucket", "key", "chain", "sha", "keep_id", "keep_row", "copies"), columns, strict=True))
+        none = [None] * len(links)
+        return pa.RecordBatch.from_arrays([pa.array(named.get(f.name, none), f.type) for f in _FILE], schema=_FILE)
+
+    def closed(chain: list[list]) -> list[tuple]:
+        return [(*key, i, sha, *stays, copies) for i, (_, sha, stays, copies) in enumerate(chain)]
 
     for batch in batches:
-        out = []
-        columns = [batch.column(c).to_pylist() for c in ("bucket", "key", "sha", "keep_id", "copies")]
-        for (bucket, own, sha, keep_id, copies), data in zip(zip(*columns, strict=True), batch.column("data"), strict=True):
+        out, links = [], []
+        columns = [batch.column(c).to_pylist() for c in ("bucket", "key", "sha", "keep_id", "keep_row", "copies")]
+        for (bucket, own, sha, keep_id, keep_row, copies), data in zip(zip(*columns, strict=True), batch.column("data"), strict=True):
             if (bucket, own) != key:
-                out += entries(chain)
+                out += closed(chain)
                 key, chain = (bucket, own), []
             data = data.as_buffer()
-            found = next((c for c in chain if c[5] == data), None)
-            if found is None:
-                chain.append([bucket, own, sha, keep_id, copies, pa.py_buffer(data.to_pybytes())])
+            link = next((i for i, c in enumerate(chain) if c[0] == data), None)
+            if link is None:
+                link = len(chain)
+                chain.append([pa.py_buffer(data.to_pybytes()), sha, (keep_id, keep_row), copies])
             else:
-                found[3] = keep_id if found[3] is None else max(found[3], found[3] if keep_id is None else keep_id)
-                found[4] += copies
-        yield pa.RecordBatch.from_pylist(out, _ENTRY)
-    yield pa.RecordBatch.from_pylist(entries(chain), _ENTRY)
+                chain[link][2] = _stays(chain[link][2], (keep_id, keep_row))
+                chain[link][3] += copies
+            links.append(link)
+        yield entries(out)
+        known = {"bucket": batch.column("bucket"), "key": batch.column("key"), "chain": pa.array(links, pa.int32()), "ids": batch.column("ids"), "rows": batch.column("rows")}
+        yield pa.RecordBatch.from_arrays([known[f.name].cast(f.type) if f.name in known else pa.nulls(len(links), f.type) for f in _FILE], schema=_FILE)
+    yield entries(closed(chain))
 
 
 def index(docs: DataFrame, slots: Directory, key_bits: int = 60) -> DataFrame:
-    """One entry per different text: bucket, key, chain, sha, keep_id, copies; written to the shared folder by bucket."""
+    """The index of texts with doc_id and row, as read from its files: entries (key, chain, sha, keep_id, keep_row,
+    copies) and addresses (key, chain, ids, rows), in a file for each bucket."""
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _copies_within(batches, slots, key_bits)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(within, _ddl(_ROW))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "row", "text").mapInArrow(within, _ddl(_ROW))
     owned = rows.repartition("bucket").sortWithinPartitions("bucket", "key", "sha")
-    return stored(owned.mapInArrow(_chains, _ddl(_ENTRY)), "hash-index")
+    path = shared_path(docs.sparkSession, "hash-index")
+    owned.mapInArrow(_chains, _ddl(_FILE)).write.partitionBy("bucket").option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(_ddl(_FILE)).parquet(path)
 
 
 def groups(docs: DataFrame, key_bits: int = 60, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -172,14 +218,17 @@ def groups(docs: DataFrame, key_bits: int = 60, bucket_bytes: int = BUCKET_BYTES
 
 def _grouped(docs: DataFrame, key_bits: int, bucket_bytes: int) -> DataFrame:
     """The same with ``row``: the number that ``docs`` have or else get."""
-    rows = stored(hashed(docs, key_bits), "hashed-documents")
-    slots = directory(rows, key_bits, bucket_bytes)
-    entries = index(docs, slots, key_bits).select("key", "sha", "keep_id", "copies")
-    found = stored(lookup(rows, entries, ["key", "sha"], "copies", ["row"]).select("doc_id", "row", "keep_id", "copies", "sha"), "found-documents")
-    # of rows that repeat id and text the first stays; they are met before they move
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("sha").agg(F.min("row").alias("stays")).select("stays")
-    found = found.join(stays, F.col("row") == F.col("stays"), "left")
-    return found.select("doc_id", "row", "keep_id", F.col("copies").alias("group_size"), F.col("stays").isNotNull().alias("kept"), F.col("sha").alias("text_sha256"))
+    slots = directory(hashed(docs, key_bits), key_bits, bucket_bytes)
+    row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id()
+    found = index(docs.select("doc_id", row.cast("long").alias("row"), "text"), slots, key_bits)
+    address = ["bucket", "key", "chain"]
+    entries = found.where("copies is not null").select(*address, "sha", "keep_id", "keep_row", "copies")
+    # an address stands for all rows of a task that hold the text; they part after they got their answer
+    answered = lookup(found.where("copies is null").select(*address, "ids", "rows"), entries, address, "copies", ["rows"])
+    parted = answered.select("keep_id", "keep_row", "copies", "sha", F.explode(F.arrays_zip("ids", "rows")).alias("of"))
+    return parted.select(
+        F.col("of.ids").alias("doc_id"), F.col("of.rows").alias("row"), "keep_id", F.col("copies").alias("group_size"), (F.col("of.rows") == F.col("keep_row")).alias("kept"), F.col("sha").alias("text_sha256")
+    )
 
 
 def deduplicated(docs: DataFrame, key_bits: int = 60, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
