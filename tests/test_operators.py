@@ -1,6 +1,7 @@
 """Single operators on hand-made frames."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -87,6 +88,17 @@ def test_duplicate_stats_and_ties(spark):
     assert [tuple(r) for r in top] == [(1, "a", 3), (2, "b", 3), (3, None, 3)]
 
 
+@pytest.mark.parametrize(("cells", "most"), [(None, 1 << 20), (7, 1 << 20), (7, 3), (1000, 1 << 20)])
+def test_screened_groups_equal_the_groups(spark, cells, most):
+    r = random.Random(5)
+    rows = [(r.choice([None, "", "k", f"k{r.randrange(300)}"]), r.choice([None, 0.0, -0.0, float("nan"), r.random()]), 1) for _ in range(600)]
+    df = spark.createDataFrame(rows, "`a b` string, x double, cell int").repartition(4)
+    keys = ("a b", "x")
+    want = sorted(map(str, duplicates.duplicate_groups(df, keys).collect()))
+    assert want and sorted(map(str, duplicates.screened_groups(df, keys, cells, most).collect())) == want
+    assert duplicates.screened_groups(df.limit(0), keys).count() == 0
+
+
 def test_no_duplicates_give_zero_and_an_empty_array(spark):
     df = spark.createDataFrame([("a",), ("b",)], "k string")
     row = duplicates.duplicate_report({"t": duplicates.KeySpec(df, ("k",), ("k",))}).collect()[0]

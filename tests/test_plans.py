@@ -145,6 +145,17 @@ def test_hot_entity_is_combined_before_the_shuffle(spark, skewed):
     assert written <= distinct + tasks
 
 
+def test_screen_leaves_unique_keys_where_they_are(spark):
+    """The exchange of keys carries only those that may repeat; a screen that is too full is left out."""
+    rows = spark.range(20000).selectExpr("id % 19990 as a", "concat('key ', id % 19990) as b", "id as cell")
+    repeated = [(i, f"key {i}", 2) for i in range(10)]
+    for options, most in ({}, 20), ({"most": 9}, 40000):
+        groups = duplicates.screened_groups(rows, ("a", "b"), **options)
+        assert sorted(tuple(r) for r in groups.collect()) == repeated
+        written = _shuffle_records(groups._jdf.queryExecution().executedPlan())
+        assert 10 <= written <= most and (written >= 19990 or not options)
+
+
 def _shuffle_records(plan):
     stage = plan.finalPhysicalPlan() if hasattr(plan, "finalPhysicalPlan") else plan
     stack = [stage]

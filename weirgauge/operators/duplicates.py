@@ -2,7 +2,8 @@
 
 The grouped frame is the only wide shuffle. Its partial aggregation runs before
 the exchange, so a key holding a large share of the rows arrives as one row per
-map task. Statistics and top keys both read that same exchange.
+map task. Statistics and top keys both read that same exchange. Wide keys that
+are mostly unique can be screened first, so that few of them move.
 """
 
 from __future__ import annotations
@@ -16,6 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirgauge.functions.expr import aggregate, date_of, day, name, struct, text
+from weirgauge.sources.daily import scratch
+
+#: Cells that hold several rows are broadcast up to this many (8 bytes each); beyond, keys are grouped without them.
+MOST_CELLS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -37,6 +42,26 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return aggregate(df.groupBy(*keys), "count(1) as row_count").where("row_count > 1")
 
 
+def screened_groups(df: DataFrame, keys: Sequence[str], cells: int | None = None, most: int = MOST_CELLS) -> DataFrame:
+    """The same groups, for wide keys that are mostly unique: only keys that may repeat are exchanged.
+
+    Rows are first counted by the cell of their key's 64-bit hash (or that modulo ``cells``), so what is exchanged for
+    every row is a number and not the key. Rows outside of cells with several rows are unique and stay where they are;
+    the others are grouped by their keys, so keys that share a cell are told apart. The cells are counted when this is
+    called, which reads the key columns once; where there are more than ``most``, keys repeat too often for a screen
+    to pay, and all are grouped. NULLs are key values like others, as in any grouping.
+    """
+    spark = df.sparkSession
+    cell = F.xxhash64(*[df[name(key)] for key in keys])
+    cell = cell if cells is None else F.pmod(cell, F.lit(cells))
+    path = scratch(spark, "cells")
+    duplicate_groups(df.select(cell.alias("cell")), ("cell",)).select("cell").write.parquet(path)
+    several = spark.read.schema("cell bigint").parquet(path)
+    if several.count() > most:
+        return duplicate_groups(df, keys)
+    return duplicate_groups(df.join(F.broadcast(several), cell == several["cell"], "left_semi"), keys)
+
+
 STATS = ("count(1) as duplicate_key_groups", "coalesce(sum(row_count - 1), 0) as extra_duplicate_rows")
 
 

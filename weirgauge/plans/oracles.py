@@ -652,6 +652,11 @@ ORACLES: dict[str, str] = {
     "duplicate_keys": f"select rank, l_orderkey, l_linenumber, row_count "
     f"from ({_worst(_groups('lineitem', LINE_KEY), LINE_KEY)})",
     "duplicate_keys_day": f"select rank, user_id, event_type, row_count from ({_worst(EVENT_DAY_GROUPS, EVENT_KEY)})",
+    "duplicate_lines_screened": _groups(
+        "lineitem",
+        "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_shipdate, l_returnflag, l_linestatus",
+    ),
+    "duplicate_events_screened": _stats(_groups("events", "user_id, event_type")),
     "duplicate_report": " union all ".join(
         [
             _report_arm("lineitem", _groups("lineitem", LINE_KEY), LINE_KEY, _report_columns("l_orderkey", "l_linenumber")),

@@ -218,6 +218,22 @@ def duplicate_keys_day(spark, sf_dir):
     return duplicates.top_duplicates(duplicates.duplicate_groups(rows, keys), keys, ("user_id", "event_type"))
 
 
+WIDE_KEY = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate", "l_returnflag", "l_linestatus")
+
+
+@query
+def duplicate_lines_screened(spark, sf_dir):
+    """Lines of the whole table that agree in part, supplier, amounts, day and flags; unique ones are not exchanged."""
+    return duplicates.screened_groups(B.lineitem(spark, sf_dir), WIDE_KEY)
+
+
+@query
+def duplicate_events_screened(spark, sf_dir):
+    """Statistics of user and type over the whole table, where most keys repeat."""
+    groups = duplicates.screened_groups(B.events(spark, sf_dir), ("user_id", "event_type"))
+    return duplicates.duplicate_stats(groups)
+
+
 @query
 def duplicate_report(spark, sf_dir):
     """Statistics and worst keys of three whole tables, keys as rows."""
