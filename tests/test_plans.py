@@ -58,6 +58,23 @@ def test_duplicates_share_one_grouped_exchange(stored):
     assert pu.count(plan, "TakeOrderedAndProject") == 1 and pu.no_pairwise_join(plan)
 
 
+def test_groupings_of_a_report_end_in_stages_of_their_own(spark):
+    """In one stage they would share its tasks, and those that get one task each would run in the same one."""
+    tables = {n: spark.range(4000).selectExpr(f"id % {n} as {k}") for n, k in ((300, "a"), (400, "b"), (500, "c"))}
+    found = duplicates.duplicate_report({str(n): duplicates.KeySpec(t, t.columns, t.columns) for n, t in tables.items()})
+    lines = pu.executed_plan(found).splitlines()
+    depths = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in lines]
+    worst = [i for i, line in enumerate(lines) if "TakeOrderedAndProject" in line]
+    assert len(worst) == len(tables)
+    for i in worst:
+        above = [j for j in range(i) if depths[j] < min(depths[j + 1 : i + 1])]
+        union = max(j for j in above if "Union" in lines[j])
+        # between the grouping and the union there is an exchange
+        assert any("ShuffleQueryStage" in lines[j] for j in above if j > union)
+    top = {r.source_table: (r.duplicate_key_groups, r.top_duplicate_keys[0].row_count) for r in found.collect()}
+    assert top == {"300": (300, 14), "400": (400, 10), "500": (500, 8)}
+
+
 def test_no_string_aggregate_in_the_entity_rollup(stored):
     tables = {"t": change.PinnedTable(stored.daily, ("date_id",))}
     check = change.ChangeCheck("c", change.Side("t"), change.Side("t", 1), "end_budget_usd", "0.1")

@@ -76,11 +76,15 @@ def _worst(groups: DataFrame, keys: Sequence[str], item: str, n: int, *constants
     The limit is a bounded heap per task and one merge; the array is built from
     what is left. Ties go to the smaller key, NULLs last, and are ordered the
     same way inside the array.
+
+    What is left is exchanged, so that the grouping ends in a stage of its own:
+    beside others in one stage, adaptive execution gives it a share of the
+    tasks only, and the groupings that get one task each run in the same one.
     """
     best = groups.orderBy(F.expr("row_count").desc(), *[F.expr(name(k)).asc_nulls_last() for k in keys]).limit(n)
     position = ", ".join(f"{name(k)} is null as null_{i}, {name(k)} as key_{i}" for i, k in enumerate(keys))
     packed = f"sort_array(collect_list(struct(-row_count as by_count, {position}, {item} as item)))"
-    return aggregate(best, *constants, f"transform({packed}, entry -> entry.item) as top_duplicate_keys")
+    return aggregate(best.repartition(1), *constants, f"transform({packed}, entry -> entry.item) as top_duplicate_keys")
 
 
 def top_duplicates(groups: DataFrame, keys: Sequence[str], show: Sequence[str], n: int = 5) -> DataFrame:
