@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -82,6 +83,29 @@ def test_ids_and_sequences(spark, model, texts):
     assert summed.used == sum(len(x) for ids in wanted.values() for x in ids) and summed.used >= 0.99 * summed.padded
 
 
+class Counted(dict):
+    looked_up = 0
+
+    def get(self, *args):
+        self.looked_up += 1
+        return super().get(*args)
+
+
+def test_words_of_a_batch_are_looked_up_once_each(texts):
+    with open(PATH, encoding="utf-8") as file:
+        tokenizer = packing.WordTokenizer(file.read())
+    tokenizer.known = Counted()
+    batch = texts + [None, "\v a\fb ", "a\xa0b\u3000c\u2028d\x1fe\tf", "(a) 's 'S don't, ", "   "]
+    some = pa.array(["before", *batch, "after"]).slice(1, len(batch))
+    for _ in range(2):  # unknown, then known
+        tokenizer.known.looked_up = 0
+        assert [np.frombuffer(ids, packing.ID).tolist() for ids in tokenizer.encode(some)] == [ids_of(t)[:-1] for t in batch]
+        different = {word for text in batch for word in (text or "").split()}
+        assert tokenizer.known.looked_up <= 5 * len(different)
+    for empty in ([], [None], ["", " "]):
+        assert tokenizer.encode(pa.array(empty, pa.string())) == [b""] * len(empty)
+
+
 def test_small_length(spark, model):
     docs = spark.createDataFrame([(i, "word " * (i % 40)) for i in range(300)], "doc_id long, text string")
     wanted = {i: [ids_of("word " * (i % 40))] for i in range(300)}

@@ -18,10 +18,11 @@ import gc
 import os
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,8 +36,6 @@ GROUP_DOCS = 512
 SLACK = 8
 #: Words whose ids a task remembers, of at most so many characters; bounds its memory, not its results.
 CACHE_WORDS, CACHE_CHARS = 1_000_000, 48
-#: Python's split() takes these for white space, the tokenizer doesn't.
-_ODD = "\x1c\x1d\x1e\x1f"
 #: ASCII signs but for the apostrophe, and the last of the letters that are one letter each in lower case, whatever
 #: stands beside them. Runs of either are one match of the tokenizer's pattern each.
 _SIGNS, _LAST_LETTER = r"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~""", "ÿ"
@@ -81,27 +80,26 @@ class WordTokenizer:
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words that are not known, and of their parts."""
-        cut, parts, others = [], {}, []
+        cut, others = [], []
         for word in words:
             right = word.lstrip(_SIGNS)
             core = right.rstrip(_SIGNS)
             if core and not (core.isalpha() and (core.isascii() or max(core) <= _LAST_LETTER)):
                 others.append(word)
-                continue
-            own = (word[: len(word) - len(right)], core.lower(), right[len(core) :])
-            cut.append((word, own))
-            parts.update(dict.fromkeys(own))
-        missing = [part for part in parts if part and part not in self.known]
-        coded = dict(zip(missing, self._coded(missing, True), strict=True))
-        coded.update((part, self.known[part]) for part in parts if part and part not in coded)
+            else:
+                cut.append((word[: len(word) - len(right)], core.lower(), right[len(core) :], word))
+        parts = dict.fromkeys(chain.from_iterable(own[:3] for own in cut))
+        coded = {part: self.known.get(part) for part in parts}
+        missing = [part for part, ids in coded.items() if ids is None and part]
+        coded.update(zip(missing, self._coded(missing, True), strict=True))
         coded[""] = b""
-        coded.update([(word, coded[a] + coded[b] + coded[c]) for word, (a, b, c) in cut])
+        coded.update([(word, coded[a] + coded[b] + coded[c]) for a, b, c, word in cut])
         coded.update(zip(others, self._coded(others, False), strict=True))
         return coded
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        # tens of millions of short-lived objects, none in a cycle: collecting garbage costs a quarter of the time
+        # millions of short-lived objects, none in a cycle: collecting garbage costs a quarter of the time
         collecting = gc.isenabled()
         gc.disable()
         try:
@@ -110,21 +108,29 @@ class WordTokenizer:
             if collecting:
                 gc.enable()
 
-    def _encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [text.split(" ") if any(c in text for c in _ODD) else text.split() for text in (text or "" for text in texts)]
-        words = list(chain.from_iterable(split))
+    def _encode(self, texts: pa.Array) -> list[bytes]:
+        # each different word is looked up once; only these are Python objects, and the words' ids are joined by Arrow
+        split = pc.ascii_split_whitespace(texts)
+        every = split.flatten().dictionary_encode()
+        words = every.dictionary.to_numpy(zero_copy_only=False).tolist()
         coded = list(map(self.known.get, words))
         unknown = [i for i, ids in enumerate(coded) if ids is None]
         if unknown:
-            learned = self._learn(list(dict.fromkeys(map(words.__getitem__, unknown))))
+            learned = self._learn([words[i] for i in unknown])
             for i in unknown:
                 coded[i] = learned[words[i]]
             if len(self.known) < CACHE_WORDS:
                 self.known.update((word, ids) for word, ids in learned.items() if len(word) <= CACHE_CHARS)
-            elif len(unknown) * 4 > len(words):  # other texts than those whose words are remembered
+            elif np.bincount(every.indices)[unknown].sum() * 4 > len(every):  # other texts than those whose words are remembered
                 self.known.clear()
-        every = iter(coded)
-        return [b"".join(islice(every, len(own))) for own in split]
+        joined = pa.array(coded, pa.large_binary()).take(every.indices)
+        _, offsets, data = joined.buffers()
+        if data is None:  # no words
+            return [b""] * len(texts)
+        ends = np.cumsum(pc.list_value_length(split).fill_null(0), dtype=np.int64)
+        at = np.frombuffer(offsets, np.int64)[[0, *ends]].tolist()
+        data = memoryview(data)
+        return [bytes(data[a:b]) for a, b in zip(at, at[1:], strict=False)]
 
 
 @lru_cache(maxsize=2)
@@ -148,7 +154,7 @@ def tokenized(docs: DataFrame, model: Broadcast, length: int = LENGTH, end_id: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(model.value)
         for batch in pieces(batches):
-            coded = tokenizer.encode(batch.column("text").to_pylist())
+            coded = tokenizer.encode(batch.column("text"))
             out = []
             for doc_id, row, ids in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), coded, strict=True):
                 ids += end
